@@ -6,8 +6,7 @@ from revaudit.catalog.tables import ORDER_REVIEWS, REPEATED_USER, REVIEWS
 from revaudit.functions.draws import poisson_cdf
 from revaudit.functions.text import NEGATIVE_WORDS, POSITIVE_WORDS
 from revaudit.operators import generate as gen
-from revaudit.operators.bias import LENGTH_BINS, NO_ADVICE, NO_BIAS
-from revaudit.operators.bias import NEGATIVE_ADVICE, NEGATIVE_BIAS, POSITIVE_ADVICE, POSITIVE_BIAS
+from revaudit.operators.bias import ADVICE, LENGTH_BINS, NEGATIVE_BIAS, NO_BIAS, POSITIVE_BIAS
 from revaudit.sources.readers import NA_TOKENS
 
 # The code points Python counts as whitespace, as an RE2 class.
@@ -447,9 +446,9 @@ def _bias_analysis(source: str) -> str:
 def _recommendations(source: str) -> str:
     lines = []
     for case, advice in (
-        ("positive_ratio > 0.7", POSITIVE_ADVICE),
-        ("positive_ratio <= 0.7 AND negative_ratio > 0.5", NEGATIVE_ADVICE),
-        ("positive_ratio <= 0.7 AND negative_ratio <= 0.5", NO_ADVICE),
+        ("positive_ratio > 0.7", ADVICE[POSITIVE_BIAS]),
+        ("positive_ratio <= 0.7 AND negative_ratio > 0.5", ADVICE[NEGATIVE_BIAS]),
+        ("positive_ratio <= 0.7 AND negative_ratio <= 0.5", ADVICE[NO_BIAS]),
     ):
         lines += [
             f"SELECT CAST({i} AS INTEGER) AS position, '{line}' AS line FROM ratios WHERE {case}"

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from revaudit.catalog.tables import order_reviews, reviews, reviews_dup, table
-from revaudit.functions import draws
 from revaudit.functions.text import sentiment_label
 from revaudit.operators import anomaly, bias, clean, duplicates, features, generate, validate
 from revaudit.operators.facts import facts
@@ -101,17 +100,7 @@ _on(
     _order_ids,
     lambda ids: generate.synthetic_reviews(ids, "extended", SEED),
 )
-_on(
-    "synth_votes",
-    _order_ids,
-    lambda ids: ids.select(
-        "id",
-        *[
-            draws.poisson(draws.uniform(SEED, F.col("id"), name), rate).alias(name)
-            for name, rate in generate.VOTE_RATES.items()
-        ],
-    ),
-)
+_on("synth_votes", _order_ids, lambda ids: generate.synthetic_votes(ids, SEED))
 _on(
     "synth_null_injection",
     _order_ids,

@@ -44,5 +44,8 @@ def poisson_cdf(rate: float) -> list[float]:
 
 def poisson(u: Column, rate: float) -> Column:
     """Inverse-distribution draw: the number of cumulative steps at or below u."""
-    steps = F.array(*[F.lit(step) for step in poisson_cdf(rate)])
-    return F.size(F.filter(steps, lambda step: step <= u)).cast("bigint")
+    steps = poisson_cdf(rate)
+    drawn = F.when(u < steps[0], 0)
+    for votes, step in enumerate(steps[1:], 1):
+        drawn = drawn.when(u < step, votes)
+    return drawn.otherwise(len(steps)).cast("bigint")

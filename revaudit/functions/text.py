@@ -19,22 +19,32 @@ NEGATIVE_WORDS = ("terrible", "awful", "horrible", "worst", "hate", "disappointi
 # The character after "www" may be anything but a newline, a blank included.
 _URL = f"http[^{WHITESPACE}]+|www[^\\n][^{WHITESPACE}]+"
 _TAG = r"<[^\n]*?>"
-_DROPPED = f"[^a-zA-Z0-9{WHITESPACE}.,!?]"
-_BLANKS = f"[{WHITESPACE}]+"
+
+# Kept characters of lower-cased text. They are listed one by one, and ahead of the whitespace,
+# because Java looks single Latin-1 characters up in a table but tests ranges one after another.
+_KEPT = "abcdefghijklmnopqrstuvwxyz0123456789.,!?"
+_DROPPED = f"[^[ {_KEPT}][{WHITESPACE}]]+"
+# Once symbols are gone, whatever is not kept is whitespace.
+_BLANKS = f"[^{_KEPT}]+"
 
 
 def clean_text(text: Column, strip_tags: bool = False) -> Column:
-    """Lower-case, drop URLs (then tags, if asked) and symbols, single-space; null gives ''."""
-    out = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), _URL, "")
+    """Lower-case, drop URLs (then tags, if asked) and symbols, single-space; null gives ''.
+
+    Texts without any URL or tag skip those patterns.
+    """
+    out = F.lower(F.coalesce(text, F.lit("")))
+    linked = F.contains(out, F.lit("http")) | F.contains(out, F.lit("www"))
+    out = F.when(linked, F.regexp_replace(out, _URL, "")).otherwise(out)
     if strip_tags:
-        out = F.regexp_replace(out, _TAG, "")
-    out = F.regexp_replace(out, _DROPPED, "")
-    return F.trim(F.regexp_replace(out, _BLANKS, " "))
+        tagged = F.contains(out, F.lit("<"))
+        out = F.when(tagged, F.regexp_replace(out, _TAG, "")).otherwise(out)
+    return F.trim(F.regexp_replace(F.regexp_replace(out, _DROPPED, ""), _BLANKS, " "))
 
 
 def word_count(cleaned: Column) -> Column:
     """Number of words of a single-spaced text: its blanks plus one."""
-    blanks = F.length(cleaned) - F.length(F.translate(cleaned, " ", ""))
+    blanks = F.length(cleaned) - F.length(F.replace(cleaned, F.lit(" "), F.lit("")))
     return F.when(F.length(cleaned) == 0, 0).otherwise(blanks + 1).cast("bigint")
 
 

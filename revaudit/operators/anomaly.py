@@ -221,57 +221,60 @@ def _alert(outliers: Column, duplicates: Column, patterns: Column) -> Column:
     return F.when(lines == "", ALL_CLEAR).otherwise(lines)
 
 
+def _bounded(df: DataFrame, columns: Sequence[str], settings: Settings) -> DataFrame:
+    """Add the ``cuts`` and ``moments`` of the columns, and the vote threshold as a third cut."""
+    if not columns:
+        return df
+    wanted = {name: [0.25, 0.75] for name in columns}
+    if "useful_votes" in wanted:
+        wanted["useful_votes"] = [0.25, 0.75, settings.vote_quantile]
+    return df.transform(with_scalar, "cuts", quantiles(df, wanted)).transform(
+        with_scalar, "moments", _moments(df, columns)
+    )
+
+
+def _null_measures(df: DataFrame) -> Column:
+    def missing(name: str) -> Column:
+        count = F.count_if(F.col(name).isNull())
+        percentage = percent_of(count, F.count(F.lit(1)))
+        return F.struct(count.alias("missing_count"), percentage.alias("missing_percentage"))
+
+    return F.struct(*[missing(name).alias(name) for name in df.columns])
+
+
 def anomaly_report(df: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """One nested row: outliers per column and method, duplicates, patterns, nulls, the alert."""
     present = [name for name in NUMERIC_COLUMNS if name in df.columns]
-    wanted = {name: [0.25, 0.75] for name in present}
-    if "useful_votes" in present:
-        wanted["useful_votes"] = [0.25, 0.75, settings.vote_quantile]
-    measures = _pattern_measures(df, F.col("cuts.useful_votes")[2], settings)
-    bounded = df.transform(with_scalar, "cuts", quantiles(df, wanted)).transform(
-        with_scalar, "moments", _moments(df, present)
-    )
-    scanned = bounded.agg(
-        _outlier_measures(present, settings).alias("outliers"),
-        F.struct(
-            *[
-                F.struct(
-                    F.count_if(F.col(name).isNull()).alias("missing_count"),
-                    percent_of(
-                        F.count_if(F.col(name).isNull()), F.count(F.lit(1))
-                    ).alias("missing_percentage"),
-                ).alias(name)
-                for name in df.columns
-            ]
-        ).alias("missing_patterns"),
-        *[column.alias(name) for name, column in measures.items()],
+    patterns = _pattern_measures(df, F.col("cuts.useful_votes")[2], settings)
+    measures = {"missing_patterns": _null_measures(df), **patterns}
+    if present:
+        measures["outliers"] = _outlier_measures(present, settings)
+    scanned = _bounded(df, present, settings).agg(
+        *[column.alias(name) for name, column in measures.items()]
     )
-    counted = list(measures)
+    added = {"duplicates": as_scalar(duplicate_counts(df))}
     if {"business_id", "text"} <= set(df.columns):
-        scanned = scanned.withColumn("repeated_groups", repeated_reviews(df).scalar())
-        counted.append("repeated_groups")
-    total = sum(
-        (F.col(f"outliers.`{name}`.{method}") for name in present for method in ("iqr", "zscore")),
-        F.lit(0),
-    )
-    kinds = sum(((F.col(name) > 0).cast("int") for name in counted), F.lit(0))
-    summed = scanned.withColumns(
+        added["repeated_groups"] = repeated_reviews(df).scalar()
+    counted = [*patterns, *[name for name in added if name == "repeated_groups"]]
+    counts = [
+        F.col(f"outliers.`{name}`.{method}") for name in present for method in ("iqr", "zscore")
+    ]
+    occurring = [(F.col(name) > 0).cast("bigint") for name in counted]
+    summed = scanned.withColumns(added).withColumns(
         {
-            "duplicates": as_scalar(duplicate_counts(df)),
-            "total_outliers": total.cast("bigint"),
-            "pattern_types": kinds.cast("bigint"),
+            "total_outliers": sum(counts, F.lit(0).cast("bigint")),
+            "pattern_types": sum(occurring, F.lit(0).cast("bigint")),
         }
     )
+    alert = _alert(
+        F.col("total_outliers"), F.col("duplicates.exact_duplicates"), F.col("pattern_types")
+    )
+    parts = ["outliers"] if present else []
+    parts.append("duplicates")
+    if counted:
+        parts.append(F.struct(*counted).alias("suspicious_patterns"))
     return summed.select(
-        "outliers",
-        "duplicates",
-        F.struct(*counted).alias("suspicious_patterns"),
-        "missing_patterns",
-        "total_outliers",
-        "pattern_types",
-        _alert(
-            F.col("total_outliers"), F.col("duplicates.exact_duplicates"), F.col("pattern_types")
-        ).alias("alert"),
+        *parts, "missing_patterns", "total_outliers", "pattern_types", alert.alias("alert")
     )
 
 

@@ -25,17 +25,19 @@ POSITIVE_BIAS = "Positive bias - over 70% positive reviews"
 NEGATIVE_BIAS = "Negative bias - over 50% negative reviews"
 NO_BIAS = "No significant bias detected"
 
-# The advice of each case.
-POSITIVE_ADVICE = (
-    "1. **Oversample negative reviews** to balance the dataset",
-    "2. **Apply class weights** during model training",
-    "3. **Use stratified sampling** for train/test splits",
-)
-NEGATIVE_ADVICE = (
-    "1. **Oversample positive reviews** to balance the dataset",
-    "2. **Consider synthetic data generation** for positive examples",
-)
-NO_ADVICE = ("- No significant bias detected, proceed with standard training",)
+# The advice that goes with each verdict.
+ADVICE = {
+    POSITIVE_BIAS: (
+        "1. **Oversample negative reviews** to balance the dataset",
+        "2. **Apply class weights** during model training",
+        "3. **Use stratified sampling** for train/test splits",
+    ),
+    NEGATIVE_BIAS: (
+        "1. **Oversample positive reviews** to balance the dataset",
+        "2. **Consider synthetic data generation** for positive examples",
+    ),
+    NO_BIAS: ("- No significant bias detected, proceed with standard training",),
+}
 
 
 def dataset_stats(df: DataFrame, exact: bool = True) -> DataFrame:
@@ -75,18 +77,14 @@ def _shares(settings: Settings) -> dict[str, Column]:
     }
 
 
-def _cases(settings: Settings, positive: Column, negative: Column, none: Column) -> Column:
+def _verdict(settings: Settings) -> Column:
     return (
-        F.when(F.col("positive_ratio") > settings.positive_share_limit, positive)
-        .when(F.col("negative_ratio") > settings.negative_share_limit, negative)
-        .otherwise(none)
+        F.when(F.col("positive_ratio") > settings.positive_share_limit, POSITIVE_BIAS)
+        .when(F.col("negative_ratio") > settings.negative_share_limit, NEGATIVE_BIAS)
+        .otherwise(NO_BIAS)
     )
 
 
-def _verdict(settings: Settings) -> Column:
-    return _cases(settings, F.lit(POSITIVE_BIAS), F.lit(NEGATIVE_BIAS), F.lit(NO_BIAS))
-
-
 def rating_summary(df: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """One row: centre, spread and skew of the ratings, and the shares over all rows."""
     rating = F.col("rating")
@@ -105,15 +103,15 @@ def rating_bias_verdict(df: DataFrame, settings: Settings = Settings()) -> DataF
 
 def bias_recommendations(df: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """The advice that follows from the verdict, one line per row."""
-    advice = _cases(
-        settings,
-        *[F.array(*[F.lit(line) for line in lines])
-          for lines in (POSITIVE_ADVICE, NEGATIVE_ADVICE, NO_ADVICE)],
-    )
-    shares = df.agg(*[column.alias(name) for name, column in _shares(settings).items()])
-    return shares.select(F.posexplode(advice).alias("position", "line")).withColumn(
-        "position", F.col("position") + 1
-    )
+    listed = [
+        part
+        for verdict, lines in ADVICE.items()
+        for part in (F.lit(verdict), F.array(*[F.lit(line) for line in lines]))
+    ]
+    advice = F.element_at(F.create_map(*listed), F.col("bias_detected"))
+    return rating_bias_verdict(df, settings).select(
+        F.posexplode(advice).alias("position", "line")
+    ).withColumn("position", F.col("position") + 1)
 
 
 def category_bias(df: DataFrame, category: str) -> DataFrame:

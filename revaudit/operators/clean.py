@@ -40,7 +40,14 @@ def handle_missing_values(df: DataFrame) -> DataFrame:
 
 
 def add_cleaned_text(df: DataFrame, strip_tags: bool = False) -> DataFrame:
-    return df.withColumn("cleaned_text", tx.clean_text(F.col("text"), strip_tags))
+    """Add the cleaned text.
+
+    It comes from a one-element explode: the optimizer would copy a plain column's expression
+    into every later filter on it, and clean each text again for each of them.
+    """
+    others = [c for c in df.columns if c != "cleaned_text"]
+    cleaned = F.explode(F.array(tx.clean_text(F.col("text"), strip_tags)))
+    return df.select(*others, cleaned.alias("cleaned_text"))
 
 
 def drop_empty_text(df: DataFrame) -> DataFrame:
@@ -73,6 +80,7 @@ def normalize_votes(df: DataFrame) -> DataFrame:
 
 
 def filter_length(df: DataFrame, shortest: int = 10, longest: int = 5000) -> DataFrame:
+    """Keep texts of ``shortest`` to ``longest`` characters, both included."""
     return df.filter(F.col("text_length").between(shortest, longest))
 
 

@@ -38,14 +38,16 @@ def _row_digest(df: DataFrame) -> Column:
 
 
 def _keyed(df: DataFrame, sets: Sequence[str]) -> DataFrame:
-    """One row per review and set: (duplicate_set, key, review_id)."""
+    """One row per review and set: (review_id, duplicate_set, key)."""
     keys = {
         BY_ID: lambda: F.col("review_id").cast("string").cast("binary"),
         BY_TEXT: lambda: text_digest("text"),
         BY_ALL: lambda: _row_digest(df),
     }
-    cells = [part for name in sets for part in (F.lit(name), keys[name]())]
-    return df.select(
+    # The keys are columns first, so that a text is digested once for both sets that use it.
+    keyed = df.select("review_id", *[keys[name]().alias(f"by_{name}") for name in sets])
+    cells = [part for name in sets for part in (F.lit(name), F.col(f"by_{name}"))]
+    return keyed.select(
         "review_id", F.stack(F.lit(len(sets)), *cells).alias("duplicate_set", "key")
     )
 

@@ -188,14 +188,15 @@ def synthetic_reviews(
         return uniform(seed, row_id, name)
 
     slots = F.array(*[F.lit(slot) for slot in RATING_SLOTS])
-    drawn = ids.select(row_id.alias("id")).withColumn(
-        "rating",
-        F.element_at(slots, integer(draw("rating"), 1, len(RATING_SLOTS)).cast("int")).cast(
-            "bigint"
-        ),
+    drawn = ids.select(
+        row_id.alias("id"),
+        F.element_at(slots, integer(draw("rating"), 1, len(RATING_SLOTS)).cast("int"))
+        .cast("bigint")
+        .alias("rating"),
+        *[draw(name).alias(name) for name in VOTE_RATES],
     )
     written = drawn.withColumn("text", _filled_template(shape, F.col("rating"), draw))
-    votes = {name: poisson(draw(name), rate) for name, rate in VOTE_RATES.items()}
+    votes = {name: poisson(F.col(name), rate) for name, rate in VOTE_RATES.items()}
     text = F.when(~lowest_draws(ids, NULL_TEXT_SHARE, seed, "null_text"), F.col("text"))
     date = F.date_sub(moment.cast("date"), integer(draw("date"), 0, 365).cast("int"))
     columns = {
@@ -240,6 +241,12 @@ def _extended(
     return out
 
 
+def synthetic_votes(ids: DataFrame, seed: int = 42) -> DataFrame:
+    """Poisson votes per id, the same as in the full reviews."""
+    drawn = ids.select("id", *[uniform(seed, F.col("id"), n).alias(n) for n in VOTE_RATES])
+    return drawn.select("id", *[poisson(F.col(n), rate).alias(n) for n, rate in VOTE_RATES.items()])
+
+
 def generate_reviews(
     spark: SparkSession, n: int = 5000, profile: str = "basic", seed: int = 42, **options
 ) -> DataFrame:

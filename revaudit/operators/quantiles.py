@@ -30,7 +30,9 @@ def _in_buckets(counts: DataFrame) -> DataFrame:
     """Add the bucket of each value: the number of marks below it."""
     steps = ", ".join(f"{i / _BUCKETS}D" for i in range(1, _BUCKETS))
     cuts = F.expr(f"percentile_approx(value, array({steps}), {_MARK_ACCURACY})")
-    marks = counts.groupBy("name").agg(F.array_distinct(cuts).alias("marks"))
+    # Reading n, too, lets Spark reuse the shuffle of the counts instead of pruning a second one.
+    seen = counts.filter(F.col("n") > 0)
+    marks = seen.groupBy("name").agg(F.array_distinct(cuts).alias("marks"))
     # One row of at most _BUCKETS marks per column: the broadcast does not grow with the data.
     bucket = F.size(F.filter("marks", lambda mark: mark < F.col("value")))
     return counts.join(F.broadcast(marks), "name").select(

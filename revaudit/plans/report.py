@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, Row
 
-from revaudit.operators.bias import LENGTH_BINS, bias_recommendations, bias_summary, monthly_trend
+from revaudit.operators.bias import ADVICE, LENGTH_BINS, bias_summary, monthly_trend
 from revaudit.schema import CATEGORY_COLUMNS
 from revaudit.settings import Settings
 
@@ -60,15 +60,14 @@ def _trend_section(months: Iterable[Row]) -> list[str]:
     return ["### temporal_bias", *lines, ""]
 
 
-def bias_report(
-    df: DataFrame, settings: Settings = Settings(), generated_on: str | None = None
+def render(
+    summary: Mapping[str, Row], months: Iterable[Row] | None, generated_on: str | None = None
 ) -> list[str]:
-    """The report's lines. Only one summary row, the calendar months and the advice are fetched."""
-    summary = bias_summary(df, settings).first().asDict()
     lines = ["# Bias Detection Report", ""]
     if generated_on:
         lines += [f"Generated on: {generated_on}", ""]
-    lines += _rating_section(summary["rating_distribution"])
+    rating = summary["rating_distribution"]
+    lines += _rating_section(rating)
     lines += ["## Categorical Bias Analysis", ""]
     if "text_length_bias" in summary:
         lines += _length_section(summary["text_length_bias"])
@@ -76,7 +75,15 @@ def bias_report(
         title = f"{category}_bias"
         if title in summary:
             lines += _category_section(title, summary[title])
-    if "date" in df.columns:
-        lines += _trend_section(monthly_trend(df).orderBy("month").collect())
-    advice = bias_recommendations(df, settings).orderBy("position").collect()
-    return [*lines, "## Mitigation Recommendations", "", *[row["line"] for row in advice]]
+    if months is not None:
+        lines += _trend_section(months)
+    return [*lines, "## Mitigation Recommendations", "", *ADVICE[rating["bias_detected"]]]
+
+
+def bias_report(
+    df: DataFrame, settings: Settings = Settings(), generated_on: str | None = None
+) -> list[str]:
+    """The report's lines. Only one summary row and the calendar months are fetched."""
+    summary = bias_summary(df, settings).first().asDict()
+    months = monthly_trend(df).orderBy("month").collect() if "date" in df.columns else None
+    return render(summary, months, generated_on)

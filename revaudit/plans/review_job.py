@@ -1,36 +1,84 @@
 """The whole job: load, clean, derive features, then validate and report on the clean table.
 
 The clean table is written once as Parquet; every later stage reads only the columns it needs
-from it, so no stage repeats the text cleaning and none depends on cached blocks.
+from it, so no stage repeats the text cleaning and none depends on cached blocks. The later
+stages do not depend on each other and are submitted together.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revaudit.operators.anomaly import anomaly_report
-from revaudit.operators.bias import bias_analysis, rating_bias_verdict
+from revaudit.operators.bias import bias_analysis, bias_summary, monthly_trend
 from revaudit.operators.clean import preprocess
 from revaudit.operators.features import create_features
-from revaudit.operators.subquery import as_scalar
 from revaudit.operators.validate import validation_report
-from revaudit.plans.report import bias_report
+from revaudit.plans.report import render
 from revaudit.settings import Settings
 from revaudit.sources.readers import load_reviews
 from revaudit.sources.writers import write_json, write_parquet, write_text
 
-STAGES = ("features", "validation", "anomalies", "bias")
+
+def _features(clean: DataFrame, base: str, settings: Settings, now: str) -> dict[str, Column]:
+    features = create_features(clean, settings)
+    write_parquet(features, f"{base}/features")
+    return {"feature_columns": F.lit(len(features.columns)).cast("bigint")}
+
+
+def _validation(clean: DataFrame, base: str, settings: Settings, now: str) -> dict[str, Column]:
+    report = validation_report(clean, f"{base}/clean_reviews", settings)
+    found = report.first()
+    saved = clean.sparkSession.createDataFrame([found], report.schema)
+    write_json(
+        saved.withColumn("validation_timestamp", F.lit(now)), f"{base}/validation_results"
+    )
+    return {
+        "validation_passed": F.lit(found["validation_passed"]),
+        "issues": F.lit(", ".join(found["issues"])),
+    }
+
+
+def _anomalies(clean: DataFrame, base: str, settings: Settings, now: str) -> dict[str, Column]:
+    report = anomaly_report(clean, settings)
+    found = report.first()
+    write_json(clean.sparkSession.createDataFrame([found], report.schema), f"{base}/anomalies")
+    return {
+        "total_outliers": F.lit(found["total_outliers"]).cast("bigint"),
+        "pattern_types": F.lit(found["pattern_types"]).cast("bigint"),
+        "alert": F.lit(found["alert"]),
+    }
+
+
+def _bias(clean: DataFrame, base: str, settings: Settings, now: str) -> dict[str, Column]:
+    write_parquet(bias_analysis(clean, settings), f"{base}/bias_analysis")
+    summary = bias_summary(clean, settings).first().asDict()
+    months = monthly_trend(clean).orderBy("month").collect() if "date" in clean.columns else None
+    write_text(clean.sparkSession, render(summary, months, now), f"{base}/bias_report")
+    return {"bias_detected": F.lit(summary["rating_distribution"]["bias_detected"])}
+
+
+Stage = Callable[[DataFrame, str, Settings, str], dict[str, Column]]
+
+STAGES: dict[str, Stage] = {
+    "features": _features,
+    "validation": _validation,
+    "anomalies": _anomalies,
+    "bias": _bias,
+}
 
 
 def process(
     raw: DataFrame,
     out_dir: str,
     settings: Settings = Settings(),
-    stages: Sequence[str] = STAGES,
+    stages: Sequence[str] = tuple(STAGES),
 ) -> DataFrame:
     """Run the job on loaded reviews and return its one-row summary. Any failure propagates."""
     unknown = set(stages) - set(STAGES)
@@ -38,41 +86,23 @@ def process(
         raise ValueError(f"Unknown stages: {sorted(unknown)}")
     spark = raw.sparkSession
     base = out_dir.rstrip("/")
-    clean_path = f"{base}/clean_reviews"
-    write_parquet(preprocess(raw, settings), clean_path)
-    clean = spark.read.parquet(clean_path)
-    now = datetime.now().isoformat(timespec="seconds")
-
-    parts: list[Column] = []
-    if "features" in stages:
-        features = create_features(clean, settings)
-        write_parquet(features, f"{base}/features")
-        parts.append(F.lit(len(features.columns)).cast("bigint").alias("feature_columns"))
-    if "validation" in stages:
-        path = f"{base}/validation_results"
-        report = validation_report(clean, clean_path, settings)
-        write_json(report.withColumn("validation_timestamp", F.lit(now)), path)
-        saved = as_scalar(spark.read.schema(report.schema).json(path))
-        parts += [
-            saved["validation_passed"].alias("validation_passed"),
-            F.concat_ws(", ", saved["issues"]).alias("issues"),
-        ]
-    if "anomalies" in stages:
-        path = f"{base}/anomalies"
-        report = anomaly_report(clean, settings)
-        write_json(report, path)
-        saved = as_scalar(spark.read.schema(report.schema).json(path))
-        parts += [
-            saved[name].alias(name) for name in ("total_outliers", "pattern_types", "alert")
+    write_parquet(preprocess(raw, settings), f"{base}/clean_reviews")
+    clean = spark.read.parquet(f"{base}/clean_reviews")
+    now = datetime.now().isoformat(sep=" ", timespec="seconds")
+
+    summary = clean.agg(F.count(F.lit(1)).alias("clean_reviews"))
+    if not stages:
+        return summary
+    with ThreadPoolExecutor(len(stages)) as pool:
+        started = [
+            pool.submit(
+                inheritable_thread_target(spark)(STAGES[name]), clean, base, settings, now
+            )
+            for name in stages
         ]
-    if "bias" in stages:
-        write_parquet(bias_analysis(clean, settings), f"{base}/bias_analysis")
-        lines = bias_report(clean, settings, generated_on=now)
-        write_text(spark, lines, f"{base}/bias_report")
-        parts.append(
-            as_scalar(rating_bias_verdict(clean, settings))["bias_detected"].alias("bias_detected")
-        )
-    return clean.agg(F.count(F.lit(1)).alias("clean_reviews")).select("clean_reviews", *parts)
+        for stage in started:
+            summary = summary.withColumns(stage.result())
+    return summary
 
 
 def run(
@@ -81,7 +111,7 @@ def run(
     source: str = "local",
     path: str | None = None,
     settings: Settings = Settings(),
-    stages: Sequence[str] = STAGES,
+    stages: Sequence[str] = tuple(STAGES),
     **options,
 ) -> DataFrame:
     """Load reviews from a source and process them. Leave a stage out for the short job."""
