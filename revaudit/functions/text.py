@@ -24,8 +24,9 @@ _TAG = r"<[^\n]*?>"
 # because Java looks single Latin-1 characters up in a table but tests ranges one after another.
 _KEPT = "abcdefghijklmnopqrstuvwxyz0123456789.,!?"
 _DROPPED = f"[^[ {_KEPT}][{WHITESPACE}]]+"
-# Once symbols are gone, whatever is not kept is whitespace.
-_BLANKS = f"[^{_KEPT}]+"
+# Once symbols are gone, whatever is not kept is whitespace, and only kept characters lie between
+# "!" and "z". One plain range runs several times faster here than a second listed class.
+_BLANKS = "[^!-z]+"
 
 
 def clean_text(text: Column, strip_tags: bool = False) -> Column:

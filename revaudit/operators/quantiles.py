@@ -14,8 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-_BUCKETS = 256
-_MARK_ACCURACY = 2560
+_BUCKETS = 512
+_MARK_ACCURACY = 5120
 
 
 def _value_counts(df: DataFrame, names: Sequence[str]) -> DataFrame:
@@ -32,9 +32,17 @@ def _in_buckets(counts: DataFrame) -> DataFrame:
     cuts = F.expr(f"percentile_approx(value, array({steps}), {_MARK_ACCURACY})")
     # Reading n, too, lets Spark reuse the shuffle of the counts instead of pruning a second one.
     seen = counts.filter(F.col("n") > 0)
-    marks = seen.groupBy("name").agg(F.array_distinct(cuts).alias("marks"))
-    # One row of at most _BUCKETS marks per column: the broadcast does not grow with the data.
-    bucket = F.size(F.filter("marks", lambda mark: mark < F.col("value")))
+    marks = seen.groupBy("name").agg(cuts.alias("marks"))
+    # Binary search for the number of marks below a value, from half the marks down to one.
+    halves = F.array(*[F.lit(_BUCKETS >> i) for i in range(1, _BUCKETS.bit_length())])
+    bucket = F.aggregate(
+        halves,
+        F.lit(0),
+        lambda place, step: F.when(
+            F.get("marks", place + step - 1) < F.col("value"), place + step
+        ).otherwise(place),
+    )
+    # One row of _BUCKETS - 1 marks per column: the broadcast does not grow with the data.
     return counts.join(F.broadcast(marks), "name").select(
         "name", "value", "n", bucket.alias("bucket")
     )
