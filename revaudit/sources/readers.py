@@ -19,6 +19,10 @@ NA_TOKENS = (
 )
 
 
+# Fixed value: where the local source keeps its reviews unless told otherwise.
+LOCAL_PATH = "data/raw/synthetic_reviews.csv"
+
+
 def _typed(name: str, kind: T.DataType) -> Column:
     cell = F.when(~F.col(name).isin(*NA_TOKENS), F.col(name))
     if isinstance(kind, T.IntegralType):
@@ -58,6 +62,7 @@ def load_reviews(
     ``local`` reads a CSV and, if there is none, first writes 5,000 synthetic reviews to it.
     """
     if source == "local":
+        path = path or LOCAL_PATH
         if not _exists(spark, path):
             write_csv(generate_reviews(spark, **options), path)
         return read_reviews_csv(spark, path)
