@@ -26,6 +26,8 @@ BROADCAST_SOURCES = 100_000
 STRATA = 4096
 DOCS_PER_BLOCK = 256
 SHARDS = 16
+#: Words that one task of a shard puts in order; a larger shard is ordered in parts.
+WORDS_PER_PART = 4_000_000
 
 _DRAW_BITS = 60
 _CELL_BITS = 10
@@ -59,8 +61,8 @@ def source_targets(sized: DataFrame) -> DataFrame:
     """source, docs, source_size, target: weights 1, 2, 3 repeating in code point order, null last.
 
     A target above three times its source's size is cut to that, and the excess goes to the others by
-    weight until none is above. That level is where capped sizes and the weights of the rest, taken in
-    order of size per weight, add up to the total.
+    weight until none is above. With sources in order of size per weight, the level of a source is the share
+    of each weight if all before it are cut; it rises while they have to be, so the highest one holds.
     """
     by_name = Window.orderBy(F.col("source").asc_nulls_last())
     by_ratio = Window.orderBy("ratio", F.col("source").asc_nulls_last())
@@ -75,7 +77,7 @@ def source_targets(sized: DataFrame) -> DataFrame:
         .withColumn("most_before", F.sum("most").over(by_ratio.rowsBetween(Window.unboundedPreceding, 0)) - F.col("most"))
         .withColumn("weight_on", F.sum("weight").over(by_ratio.rowsBetween(0, Window.unboundedFollowing)))
         .withColumn("level", (F.col("total") - F.col("most_before")) / F.col("weight_on"))
-        .withColumn("level", F.min(F.when(F.col("level") <= F.col("ratio"), F.col("level"))).over(everything))
+        .withColumn("level", F.max("level").over(everything))
         .select(
             "source", "docs", "source_size",
             F.least(F.col("most").cast("double"), F.col("level") * F.col("weight")).alias("target"),
@@ -142,29 +144,39 @@ def hypergeometric(u: Column, total: Column, good: Column, take: Column) -> Colu
     The distribution function is summed from eight deviations below the mean to eight above.
     """
     bad = total - good
-    lowest, highest = F.greatest(F.lit(0).cast("long"), take - bad), F.least(take, good)
     every = F.greatest(total, F.lit(1))
     mean = take * good / every
     sd = F.sqrt(mean * bad / every * (total - take) / F.greatest(total - 1, F.lit(1)))
-    a = F.greatest(lowest, F.floor(mean - 8 * sd - 2).cast("long"))
-    b = F.least(highest, F.ceil(mean + 8 * sd + 2).cast("long"))
+    low = F.greatest(F.lit(0).cast("long"), take - bad, F.floor(mean - 8 * sd - 2).cast("long"))
+    high = F.least(take, good, F.ceil(mean + 8 * sd + 2).cast("long"))
     lf = _log_factorial
-    first = F.exp(
-        lf(good) - lf(a) - lf(good - a) + lf(bad) - lf(take - a) - lf(bad - take + a)
-        - lf(total) + lf(take) + lf(total - take)
-    )
 
-    def step(state: Column, k: Column) -> Column:
-        upto = state["upto"] + state["p"]
-        more = (good - k).cast("double") * (take - k) / ((k + 1).cast("double") * (bad - take + k + 1))
-        return F.struct(
-            F.when(k < b, state["p"] * more).otherwise(F.lit(0.0)).alias("p"),
-            upto.alias("upto"),
-            F.when(upto < u, F.least(k + 1, b)).otherwise(state["found"]).alias("found"),
-        )
+    def found(given: Column) -> Column:
+        a, b, good, bad, take, u = (given[name] for name in ("a", "b", "good", "bad", "take", "u"))
+        first = F.exp(
+            lf(good) - lf(a) - lf(good - a) + lf(bad) - lf(take - a) - lf(bad - take + a)
+            - lf(good + bad) + lf(take) + lf(good + bad - take)
+        )
+
+        def step(state: Column, k: Column) -> Column:
+            upto = state["upto"] + state["p"]
+            more = (good - k).cast("double") * (take - k) / ((k + 1).cast("double") * (bad - take + k + 1))
+            return F.struct(
+                F.when(k < b, state["p"] * more).otherwise(F.lit(0.0)).alias("p"),
+                upto.alias("upto"),
+                F.when(upto < u, F.least(k + 1, b)).otherwise(state["found"]).alias("found"),
+            )
+
+        start = F.struct(first.alias("p"), F.lit(0.0).alias("upto"), a.alias("found"))
+        return F.aggregate(F.sequence(a, b), start, step, lambda state: state["found"])
+
+    given = F.struct(low.alias("a"), high.alias("b"), good.alias("good"), bad.alias("bad"), take.alias("take"), u.alias("u"))
+    return _let(given, found)
+
 
-    start = F.struct(first.alias("p"), F.lit(0.0).alias("upto"), a.alias("found"))
-    return F.aggregate(F.sequence(a, b), start, step, lambda state: state["found"])
+def _let(value: Column, use) -> Column:
+    """An expression of a value that is computed once."""
+    return F.transform(F.array(value), use)[0]
 
 
 def _uniform(*columns: Column) -> Column:
@@ -182,34 +194,43 @@ def split_quotas(quotas: DataFrame, shards: int, seed: int) -> DataFrame:
         F.transform("rows", lambda r: r["quota"]).alias("quota"),
         F.lit(0).alias("lo"), F.lit(shards).alias("hi"),
     )
-    for _ in range(max(shards - 1, 0).bit_length()):
-        total = F.aggregate("quota", F.lit(0).cast("long"), lambda s, x: s + x)
-        middle = F.floor((F.col("lo") + F.col("hi")) / 2).cast("int")
-        room = F.floor(total * (middle - F.col("lo")) / (F.col("hi") - F.col("lo"))).cast("long")
-
-        def step(state: Column, item: Column) -> Column:
-            got = F.when(state["room"] >= state["rest"], item["q"]).when(
-                state["room"] == 0, F.lit(0).cast("long")
-            ).otherwise(hypergeometric(_uniform(F.lit(seed), item["lo"], item["hi"], item["i"]), state["rest"], item["q"], state["room"]))
-            return F.struct(
-                (state["room"] - got).alias("room"),
-                (state["rest"] - item["q"]).alias("rest"),
-                F.concat(state["out"], F.array(got)).alias("out"),
-            )
-
-        items = F.transform("quota", lambda q, i: F.struct(q.alias("q"), i.alias("i"), F.col("lo").alias("lo"), F.col("hi").alias("hi")))
-        start = F.struct(room.alias("room"), total.alias("rest"), F.array().cast("array<long>").alias("out"))
-        nodes = nodes.withColumn("middle", middle).withColumn(
-            "left", F.aggregate(items, start, step, lambda state: state["out"])
+    middle = F.floor((F.col("lo") + F.col("hi")) / 2).cast("int")
+    room = F.floor(F.col("total") * (F.col("middle") - F.col("lo")) / (F.col("hi") - F.col("lo"))).cast("long")
+
+    def step(state: Column, item: Column) -> Column:
+        u = _uniform(F.lit(seed), item["lo"], item["hi"], item["i"])
+        got = (
+            F.when(state["room"] >= state["rest"], item["q"])
+            .when(state["room"] == 0, F.lit(0).cast("long"))
+            .otherwise(hypergeometric(u, state["rest"], item["q"], state["room"]))
         )
-        rest = F.zip_with("quota", "left", lambda q, x: q - x)
-        whole = F.struct(F.col("quota"), F.col("lo"), F.col("hi"))
-        parts = F.array(
-            F.struct(F.col("left").alias("quota"), F.col("lo"), F.col("middle").alias("hi")),
+        return F.struct(got.alias("got"), state["room"].alias("room"), state["rest"].alias("rest"), state["out"].alias("out"), item["q"].alias("q"))
+
+    def settled_step(state: Column, item: Column) -> Column:
+        return _let(step(state, item), lambda s: F.struct(
+            (s["room"] - s["got"]).alias("room"),
+            (s["rest"] - s["q"]).alias("rest"),
+            F.concat(s["out"], F.array(s["got"])).alias("out"),
+        ))
+
+    items = F.transform("quota", lambda q, i: F.struct(q.alias("q"), i.alias("i"), F.col("lo").alias("lo"), F.col("hi").alias("hi")))
+    start = F.struct(room.alias("room"), F.col("total").alias("rest"), F.array().cast("array<long>").alias("out"))
+    left = F.aggregate(items, start, settled_step, lambda state: state["out"])
+
+    def halves(x: Column) -> Column:
+        rest = F.zip_with("quota", x, lambda q, y: q - y)
+        return F.array(
+            F.struct(x.alias("quota"), F.col("lo"), F.col("middle").alias("hi")),
             F.struct(rest.alias("quota"), F.col("middle").alias("lo"), F.col("hi")),
         )
-        nodes = nodes.select("strata", F.explode(F.when(F.col("hi") - F.col("lo") > 1, parts).otherwise(F.array(whole))).alias("n"))
-        nodes = nodes.select("strata", "n.quota", "n.lo", "n.hi")
+
+    whole = F.array(F.struct(F.col("quota"), F.col("lo"), F.col("hi")))
+    total = F.aggregate("quota", F.lit(0).cast("long"), lambda s, x: s + x)
+    parts = F.when(F.col("hi") - F.col("lo") > 1, _let(left, halves)).otherwise(whole)
+    for _ in range(max(shards - 1, 0).bit_length()):
+        nodes = nodes.withColumn("total", total).withColumn("middle", middle)
+        nodes = nodes.select("strata", F.explode(parts).alias("n")).select("strata", "n.quota", "n.lo", "n.hi")
+        nodes = settle(nodes, "mixing-tree")
     runs = nodes.select(F.explode(F.arrays_zip("strata", "quota")).alias("x"), "lo").select("x.strata", "x.quota", "lo")
     listed = F.array_sort(F.collect_list(F.struct("lo", "quota")))
     sums = F.aggregate(
@@ -220,7 +241,10 @@ def split_quotas(quotas: DataFrame, shards: int, seed: int) -> DataFrame:
 
 
 def plan_mix(documents: DataFrame, shards: int = SHARDS, seed: int = 7) -> tuple[DataFrame, bool]:
-    """One row per source: source_size, target, passes, cut, blocks, base, offsets; and whether it is bounded."""
+    """One row per source: source_size, target, passes, cut, blocks, base, offsets, parts; and whether it is small.
+
+    parts: the number of parts of each shard, so that one has WORDS_PER_PART words or less.
+    """
     sized = settle(
         documents.select("source", word_count(F.col("text")).alias("size"), draw(F.col("doc_id"), seed).alias("draw")),
         "mixing-sizes",
@@ -247,14 +271,17 @@ def plan_mix(documents: DataFrame, shards: int = SHARDS, seed: int = 7) -> tuple
         "mixing-quotas",
     )
     offsets = split_quotas(quotas.groupBy("stratum").agg(F.sum("quota").alias("quota")), shards, seed)
+    words = F.sum("source_size").over(Window.partitionBy())
+    parts = F.greatest(F.ceil(words / (shards * WORDS_PER_PART)), F.lit(1)).cast("int")
     plan = quotas.join(offsets, "stratum").select(
-        "source", "source_size", "target", "passes", "cut", "blocks", "base", "offsets"
+        "source", "source_size", "target", "passes", "cut", "blocks", "base", "offsets", parts.alias("parts")
     )
     return settle(plan, "mixing-plan"), bounded
 
 
 def mix(documents: DataFrame, shards: int = SHARDS, seed: int = 7) -> DataFrame:
-    """The documents with source_size, target and places: one (pass, shard, rank) for each copy taken.
+    """The documents with source_size, target and places: one (pass, shard, part, rank) for each copy taken.
+    A shard's order is that of part and rank, which is random.
 
     `documents` needs doc_id, text and source; other columns stay unless they have one of the new
     names, which replace them. A null or blank text has size 0; a null source is a source of its own;
@@ -270,9 +297,11 @@ def mix(documents: DataFrame, shards: int = SHARDS, seed: int = 7) -> DataFrame:
     def place(i: Column) -> Column:
         index = p["base"] + i * p["blocks"] + at
         shard = F.size(F.filter(p["offsets"], lambda o: o <= index)) - 1
-        return F.struct(i.cast("int").alias("pass"), shard.alias("shard"), F.xxhash64(F.lit(seed + 1), i, d).alias("rank"))
+        rank = F.xxhash64(F.lit(seed + 1), i, d)
+        part = F.pmod(F.shiftright(rank, 20), p["parts"]).cast("int")
+        return F.struct(i.cast("int").alias("pass"), shard.alias("shard"), part.alias("part"), rank.alias("rank"))
 
-    none = F.array().cast("array<struct<pass:int,shard:int,rank:bigint>>")
+    none = F.array().cast("array<struct<pass:int,shard:int,part:int,rank:bigint>>")
     places = F.when(copies > 0, F.transform(F.sequence(F.lit(0).cast("long"), copies - 1), place)).otherwise(none)
     return (
         _join(documents.select(*ours).withColumn("_draw", draw(F.col("doc_id"), seed)), plan, bounded)
@@ -282,13 +311,13 @@ def mix(documents: DataFrame, shards: int = SHARDS, seed: int = 7) -> DataFrame:
 
 
 def taken(mixed: DataFrame) -> DataFrame:
-    """One row per document and copy taken, with its shard and its rank inside the shard."""
-    return mixed.select("*", F.explode("places").alias("_place")).select(
-        *[c for c in mixed.columns if c != "places"], "_place.shard", "_place.rank"
-    )
+    """One row per document and copy taken, dealt to tasks by shard and part and in random order inside."""
+    rows = mixed.select("*", F.explode("places").alias("_place"))
+    kept = [c for c in mixed.columns if c != "places"]
+    rows = rows.select(*kept, "_place.shard", "_place.part", "_place.rank")
+    return rows.repartition("shard", "part").sortWithinPartitions("shard", "part", "rank")
 
 
-def write_shards(mixed: DataFrame, path: str, shards: int = SHARDS) -> None:
-    """Write the taken rows as one folder a shard, in random order inside; a shard should be a few GB."""
-    rows = taken(mixed).repartition(shards, "shard").sortWithinPartitions("shard", "rank")
-    rows.drop("rank").write.partitionBy("shard").parquet(path)
+def write_shards(mixed: DataFrame, path: str) -> None:
+    """Write the taken rows as one folder a shard and part, in random order inside."""
+    taken(mixed).drop("rank").write.partitionBy("shard", "part").parquet(path)
