@@ -20,7 +20,7 @@ from revaudit.llm.tokens import split_tokens
 from revaudit.llm.words import lists, mixed
 
 #: Most labelled rows that the weights are learned from; half of each label while there are enough.
-TRAINING_ROWS = 6_000
+TRAINING_ROWS = 4_000
 PLACES = 1 << 18
 CUT = 0.3
 
@@ -84,10 +84,10 @@ def follow_the_leader(
         held = np.sign(z[at]) * np.maximum(np.abs(z[at]) - l1, 0)
         return -held / ((beta + np.sqrt(n[at])) / alpha + l2)
 
-    rows = [(np.append(p, PLACES), np.append(v, 1.0), y) for p, v, y in examples]
     for _ in range(passes):
-        for i in order.permutation(len(rows)):
-            at, value, label = rows[i]
+        for i in order.permutation(len(examples)):
+            places, values, label = examples[i]
+            at, value = np.append(places, PLACES), np.append(values.astype(float), 1.0)
             w = weights(at)
             score = 1 / (1 + np.exp(-np.clip(w @ value, -30, 30)))
             gradient = (score - label) * value
@@ -103,12 +103,9 @@ def train(documents: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) ->
     sample = labelled_sample(documents, labels, "quality", rows)
     kinds = "doc_id long, label int, places array<int>, shares array<float>"
     table = sample.mapInArrow(_feature_batches, kinds).toArrow()
-    table = table.sort_by([("doc_id", "ascending")])
-    examples = [
-        (np.asarray(p.values), np.asarray(v.values, float), y)
-        for p, v, y in zip(table["places"], table["shares"], table["label"].to_pylist(), strict=True)
-    ]
-    return follow_the_leader(examples)
+    order = np.argsort(table["doc_id"].to_numpy(), kind="stable")
+    label, places, shares = table["label"].to_pylist(), table["places"], table["shares"]
+    return follow_the_leader([(np.asarray(places[i].values), np.asarray(shares[i].values), label[i]) for i in order])
 
 
 def scores(column: pa.Array, model: Model) -> np.ndarray:

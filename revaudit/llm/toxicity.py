@@ -21,7 +21,7 @@ from revaudit.llm.tokens import Tokens, split_tokens
 from revaudit.llm.words import lists, mixed, span_hashes
 
 #: Most labelled rows that the weights are learned from; half of each label while there are enough.
-TRAINING_ROWS = 8_000
+TRAINING_ROWS = 4_000
 PLACES = 1 << 20
 CUT = 0.5
 #: Bytes of a word's beginning that are features besides the whole word.
@@ -112,10 +112,8 @@ def fit(
     """
     if len(set(label.tolist())) < 2:
         return Model(np.zeros(PLACES), 30.0 if label.any() else -30.0)
-    seen = np.unique(text[of] * PLACES + place) % PLACES
-    often = np.bincount(seen, minlength=PLACES) >= LEAST_DOCUMENTS
-    places, known = np.flatnonzero(often), often[place]
-    of, at = of[known], np.searchsorted(places, place[known])
+    places = np.flatnonzero(np.bincount(place, minlength=PLACES))
+    at = np.searchsorted(places, place)
     w, b = np.zeros(len(places)), start
     past, past_b = np.full(len(places), 1e-8), 1e-8
     total = weight.sum()
@@ -141,23 +139,32 @@ def fit(
 def train(documents: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) -> Model:
     """A model of `labels` (doc_id, toxic), learned without held-out rows.
 
-    The sample has more toxic texts than the labels do; texts are weighted back to the labels' shares.
+    Words of fewer than LEAST_DOCUMENTS texts of the sample have no weight. The sample has more toxic texts than the labels do; texts are weighted back to the labels' shares.
     """
     sample = labelled_sample(documents, labels, "toxic", rows)
     kinds = "doc_id long, label int, sentences int, of array<int>, places array<int>"
-    table = sample.mapInArrow(_feature_batches, kinds).toArrow().sort_by([("doc_id", "ascending")]).combine_chunks()
-    label = np.asarray(table["label"].to_numpy(), np.int64)
+    table = sample.mapInArrow(_feature_batches, kinds).toArrow()
+    order = np.argsort(table["doc_id"].to_numpy(), kind="stable")
+    label = table["label"].to_numpy()[order].astype(np.int64)
     if not len(label):
         return fit(*(np.zeros(0, np.int64),) * 4, np.zeros(0))
     counts = labels.where(~held_out(F.col("doc_id"))).groupBy("toxic").count().where("toxic in (0, 1)").collect()
     share = {int(r["toxic"]): r["count"] / max((label == int(r["toxic"])).sum(), 1) for r in counts}
-    sentences = table["sentences"].to_numpy()
+    sentences = table["sentences"].to_numpy()[order].astype(np.int64)
     first = np.cumsum(sentences) - sentences
-    of = np.concatenate([np.asarray(x.values, np.int64) + f for x, f in zip(table["of"], first, strict=True)])
-    place = np.concatenate([np.asarray(x.values, np.int64) for x in table["places"]])
+    seen = np.zeros(PLACES, np.int32)
+    for row in table["places"]:
+        seen[np.unique(row.values)] += 1
+    often, of, place = seen >= LEAST_DOCUMENTS, [], []
+    for begin, i in zip(first, order, strict=True):
+        own = np.asarray(table["places"][i].values)
+        kept = often[own]
+        place.append(own[kept])
+        of.append((np.asarray(table["of"][i].values)[kept] + begin).astype(np.int32))
+    del table
     text = np.repeat(np.arange(len(label)), sentences)
     weight = np.where(label == 1, share.get(1, 1.0), share.get(0, 1.0))
-    return fit(of, place, text, label, weight)
+    return fit(np.concatenate(of), np.concatenate(place), text, label, weight)
 
 
 def _score_batches(shared, least: float):
