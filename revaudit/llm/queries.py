@@ -166,5 +166,82 @@ FROM running
 """
 
 
+_TERMS = r"regexp_extract_all(lower({}), '[0-9]+(?:\.[0-9]+)*|\p{{L}}+')"
+
+
+def _license_sql() -> str:
+    bodies = ",\n".join(f"({i}, '{name}', '{text}')" for i, (name, text) in enumerate(licenses.TEMPLATES))
+    marked = f"regexp_matches(line, '{licenses.MARKS}')"
+    return f"""
+WITH files AS (
+  SELECT doc_id, coalesce(text, '') AS text,
+    concat_ws('/', coalesce(source, 'none'), CAST(floor(doc_id / 4096) AS BIGINT),
+              CAST(floor(doc_id / 64) AS BIGINT)) AS folder,
+    concat(doc_id, '.txt') AS name
+  FROM documents
+), tf AS (
+  SELECT template, licence, term, CAST(count(*) AS DOUBLE) AS tf
+  FROM (SELECT template, licence, unnest({_TERMS.format('body')}) AS term
+        FROM (VALUES {bodies}) AS v(template, licence, body)) GROUP BY ALL
+), found AS (
+  SELECT doc_id, words, line FROM (
+    SELECT doc_id, len({_TERMS.format('text')}) AS words, unnest(string_split(text, chr(10))) AS line FROM files
+  ) WHERE {marked}
+), df AS (
+  SELECT term, count(*) AS df FROM (SELECT unnest(list_distinct({_TERMS.format('line')})) AS term FROM found) GROUP BY term
+), idf AS (
+  SELECT v.term, ln((1 + n) / (1 + coalesce(df, 0))) + 1 AS idf, ln(1 + n) + 1 AS rest
+  FROM (SELECT DISTINCT term FROM tf) v LEFT JOIN df ON v.term = df.term, (SELECT count(*) AS n FROM found)
+), shares AS (
+  SELECT template, licence, tf.term,
+         tf * idf / sqrt(sum(tf * idf * tf * idf) OVER (PARTITION BY template)) AS share
+  FROM tf JOIN idf ON tf.term = idf.term
+), counted AS (
+  SELECT 'L' || line AS key, term, count(*) AS tf, max(words) AS words
+  FROM (SELECT line, len({_TERMS.format('line')}) AS words, unnest({_TERMS.format('line')}) AS term
+        FROM (SELECT DISTINCT line FROM found)) GROUP BY line, term
+  UNION ALL
+  SELECT 'F' || doc_id, term, count(*), max(words)
+  FROM (SELECT doc_id, words, unnest({_TERMS.format('line')}) AS term FROM found) GROUP BY doc_id, term
+), known AS (
+  SELECT c.key, c.term, c.tf, c.words, idf, rest FROM counted c JOIN idf ON c.term = idf.term
+), norms AS (
+  SELECT key, sqrt(sum((tf * idf) * (tf * idf)) + (max(words) - sum(tf)) * max(rest) * max(rest)) AS norm
+  FROM known GROUP BY key
+), dots AS (
+  SELECT key, template, licence, sum(k.tf * k.idf * s.share) AS dot
+  FROM known k JOIN shares s ON k.term = s.term GROUP BY ALL
+), closest AS (
+  SELECT key, licence, round(dot / norm, 6) AS cosine FROM dots JOIN norms USING (key)
+  QUALIFY row_number() OVER (PARTITION BY key ORDER BY round(dot / norm, 6) DESC, licence) = 1
+), headers AS (
+  SELECT doc_id, licence, cosine FROM found JOIN closest ON key = 'L' || line WHERE cosine >= {licenses.LINE_THRESHOLD}
+  QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY cosine DESC, licence) = 1
+), whole AS (
+  SELECT CAST(substr(key, 2) AS BIGINT) AS doc_id, licence, cosine FROM closest
+  WHERE starts_with(key, 'F') AND cosine >= {licenses.FILE_THRESHOLD}
+), granted AS (
+  SELECT folder, licence FROM whole JOIN files USING (doc_id)
+  QUALIFY row_number() OVER (PARTITION BY folder ORDER BY cosine DESC, licence) = 1
+), nearest AS (
+  SELECT f.folder, g.licence FROM (SELECT DISTINCT folder FROM files) f
+  JOIN granted g ON f.folder = g.folder OR starts_with(f.folder, g.folder || '/')
+  QUALIFY row_number() OVER (PARTITION BY f.folder ORDER BY length(g.folder) DESC) = 1
+)
+SELECT f.doc_id, f.folder || '/' || f.name AS path,
+  h.licence AS header_licence, h.cosine AS header_cosine, w.licence AS file_licence, w.cosine AS file_cosine,
+  coalesce(w.licence, h.licence, n.licence) AS licence,
+  CASE WHEN w.licence IS NOT NULL THEN 'file' WHEN h.licence IS NOT NULL THEN 'header'
+       WHEN n.licence IS NOT NULL THEN 'directory' END AS found_in
+FROM files f LEFT JOIN headers h ON f.doc_id = h.doc_id LEFT JOIN whole w ON f.doc_id = w.doc_id
+LEFT JOIN nearest n ON f.folder = n.folder
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_line_dedup": _OP1, "op3_minhash_near_dedup": _OP3, "op7_source_mixing": _OP7}
+    return {
+        "op1_line_dedup": _OP1,
+        "op3_minhash_near_dedup": _OP3,
+        "op7_source_mixing": _OP7,
+        "op10_license_scan": _license_sql(),
+    }
