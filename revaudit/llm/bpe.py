@@ -75,12 +75,13 @@ def byte_letters() -> dict[int, str]:
 def read_tokenizer(path: str) -> Tokenizer:
     with open(path, encoding="utf-8") as file:
         spec = json.load(file)
-    model, split = spec["model"], spec["pre_tokenizer"]["pretokenizers"]
-    forms = [n["type"] for n in spec["normalizer"]["normalizers"]]
+    model = spec["model"]
+    split = (spec["pre_tokenizer"] or {}).get("pretokenizers", [])
+    forms = [n["type"] for n in (spec["normalizer"] or {}).get("normalizers", [])]
     plain = (
         forms == ["NFC", "Replace", "Lowercase"]
         and [s["type"] for s in split] == ["Split", "ByteLevel"]
-        and model["end_of_word_suffix"]
+        and model.get("end_of_word_suffix")
         and spec["decoder"] is None
         and spec["post_processor"] is None
     )

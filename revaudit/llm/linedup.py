@@ -236,8 +236,8 @@ def remove_repeats(documents: DataFrame, run: int = RUN_WORDS, piece: int = PIEC
     empty table gives an empty one.
     """
     kept = [c for c in documents.columns if c.lower() not in ("n_words", "n_removed", "__marks", "__copy")]
-    marks = removals(documents, run, piece)
-    joined = documents.select(*kept).join(marks, "doc_id", "left").select(*kept, F.col("marks").alias("__marks"), F.col("copy").alias("__copy"))
+    marks = removals(documents, run, piece).select("doc_id", F.col("marks").alias("__marks"), F.col("copy").alias("__copy"))
+    joined = documents.select(*kept).join(marks, "doc_id", "left").select(*kept, "__marks", "__copy")
     others = [c for c in kept if c != "text"]
     fields = {f.name: f for f in documents.schema}
     schema = ", ".join(f"`{c}` {fields[c].dataType.simpleString()}" for c in others)
