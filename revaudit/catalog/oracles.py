@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from revaudit.catalog.tables import ORDER_REVIEWS, REPEATED_USER, REVIEWS
-from revaudit.functions.draws import poisson_cdf
 from revaudit.functions.text import NEGATIVE_WORDS, POSITIVE_WORDS
 from revaudit.operators import generate as gen
 from revaudit.operators.bias import ADVICE, LENGTH_BINS, NEGATIVE_BIAS, NO_BIAS, POSITIVE_BIAS
@@ -209,12 +208,12 @@ FROM (SELECT CAST(text_length AS DOUBLE) AS x, CAST(rating AS DOUBLE) AS y FROM
       WHERE text_length IS NOT NULL AND rating IS NOT NULL)"""
 
 
-def _iqr(source: str, column: str, shown: str = "*") -> str:
+def _iqr(source: str, column: str, shown: str = "*", reach: float = 1.5) -> str:
     return f"""
 SELECT {shown} FROM {source},
   (SELECT quantile_cont(CAST({column} AS DOUBLE), 0.25) AS q1,
           quantile_cont(CAST({column} AS DOUBLE), 0.75) AS q3 FROM {source}) AS cuts
-WHERE {column} < q1 - 1.5 * (q3 - q1) OR {column} > q3 + 1.5 * (q3 - q1)"""
+WHERE {column} < q1 - {reach} * (q3 - q1) OR {column} > q3 + {reach} * (q3 - q1)"""
 
 
 def _z(source: str, column: str, shown: str = "*") -> str:
@@ -564,10 +563,8 @@ def _suspicious(source: str) -> str:
     return f"SELECT * FROM ({rows}) WHERE count > 0"
 
 
-def _duplicate_rows(source: str) -> str:
-    keys = {
-        "review_id": "review_id", "text": "text", "all_columns": ", ".join(_REVIEW_COLUMNS),
-    }
+def _duplicate_rows(source: str, columns: tuple[str, ...] = _REVIEW_COLUMNS) -> str:
+    keys = {"review_id": "review_id", "text": "text", "all_columns": ", ".join(columns)}
     return "\nUNION ALL\n".join(
         f"""
 SELECT '{name}' AS duplicate_set, CAST(position AS INTEGER) AS position, review_id FROM (
@@ -620,19 +617,35 @@ def _anomaly_report(source: str) -> str:
         rows.append(
             _number(f"duplicates.{name}", f"(SELECT {name} FROM ({_duplicate_counts(source)}))")
         )
+    sampled = {"review_id_sample": "review_id", "text_sample": "text", "exact_sample": "all_columns"}
     rows += [
-        _number(f"suspicious_patterns.{name}", count)
-        for name, count in _pattern_counts(source).items()
+        _label(f"duplicates.{name}", f"""coalesce((
+SELECT string_agg(review_id, ', ' ORDER BY position) FROM ({_duplicate_rows(source)})
+WHERE duplicate_set = '{chosen}'), '')""")
+        for name, chosen in sampled.items()
     ]
-    for c in _REVIEW_COLUMNS:
-        at = f"missing_patterns.{c}"
+    hits = {
+        "very_short_reviews": _SHORT.format(source=source),
+        "suspicious_vote_pattern": _ODD_VOTES.format(source=source),
+        "repeated_reviews_per_business": f"SELECT * FROM {source} WHERE false",
+    }
+    for kind, found in hits.items():
+        at, own = f"suspicious_patterns.{kind}", f"FROM ({_suspicious(source)}) WHERE type = '{kind}'"
+        sample = f"(SELECT string_agg(review_id, ', ' ORDER BY review_id) FROM ({_first_ids(found)}))"
         rows += [
-            _number(f"{at}.missing_count", f"(SELECT count(*) - count({c}) FROM {source})"),
-            _number(
-                f"{at}.missing_percentage",
-                f"(SELECT (count(*) - count({c})) / count(*) * 100 FROM {source})",
-            ),
+            f"SELECT '{at}.count', CAST(count AS DOUBLE), CAST(NULL AS VARCHAR) {own}",
+            f"SELECT '{at}.description', CAST(NULL AS DOUBLE), description {own}",
+            f"SELECT '{at}.sample', CAST(NULL AS DOUBLE), coalesce({sample}, '') {own}",
         ]
+    listed = f"({_missing_patterns(source)})"
+    rows += [
+        f"""SELECT concat('missing_patterns.', "column", '.missing_count'),
+CAST(any_value(missing_count) AS DOUBLE), CAST(NULL AS VARCHAR) FROM {listed} GROUP BY "column" """,
+        f"""SELECT concat('missing_patterns.', "column", '.missing_percentage'),
+any_value(missing_percentage), CAST(NULL AS VARCHAR) FROM {listed} GROUP BY "column" """,
+        f"""SELECT concat('missing_patterns.', "column", '.sample'), CAST(NULL AS DOUBLE),
+coalesce(string_agg(review_id, ', ' ORDER BY position), '') FROM {listed} GROUP BY "column" """,
+    ]
     alert = _alert_row(source)
     rows += [
         _number("total_outliers", f"(SELECT total_outliers FROM ({alert}))"),
@@ -664,8 +677,10 @@ def _choice(u: str, values: tuple) -> str:
 
 
 def _poisson(name: str, rate: float) -> str:
-    steps = ", ".join(repr(step) + "::DOUBLE" for step in poisson_cdf(rate))
-    return f"CAST(len(list_filter([{steps}], lambda step: step <= {_u(name)})) AS BIGINT)"
+    """The number of cumulative probabilities at or below the draw, summed here term by term."""
+    terms = f"list_transform(range(0, 40), lambda k: exp(-{rate}) * pow({rate}, k) / factorial(CAST(least(k, 30) AS INTEGER)))"
+    upto = f"list_transform(range(1, 31), lambda n: list_sum(list_slice({terms}, 1, n)))"
+    return f"CAST(len(list_filter({upto}, lambda step: step <= {_u(name)})) AS BIGINT)"
 
 
 def _lowest(name: str, fraction: float) -> str:
@@ -752,6 +767,8 @@ def oracle_sql() -> dict[str, str]:
     return {
         "read_reviews_csv": _with("reviews", _CSV_REVIEWS),
         "acquire_reviews": "SELECT * FROM conversations",
+        "acquire_local": _with("reviews", _CSV_REVIEWS),
+        "acquire_table": _with("order_reviews", "SELECT * FROM order_reviews"),
         "acquire_profile": _with("reviews", f"""
 SELECT count(*) AS rows, CAST({len(_REVIEW_COLUMNS)} AS BIGINT) AS columns,
   '{names}' AS column_names,
@@ -775,7 +792,7 @@ SELECT count(*) AS reviews, min(date) AS first_date, max(date) AS last_date,
         "rating_counts": _with("reviews", """
 SELECT rating, count(*) AS reviews FROM reviews WHERE rating IS NOT NULL GROUP BY rating"""),
         "write_clean": _with("clean", f"""
-SELECT * EXCLUDE (text) REPLACE (strftime(date, '%Y-%m-%d') AS date,
+SELECT * REPLACE (strftime(date, '%Y-%m-%d') AS date, {_null_token('text')} AS text,
   round(rating, 6) AS rating, {_null_token('cleaned_text')} AS cleaned_text) FROM clean"""),
         "validation_json": _with("reviews_dup", f"""
 SELECT CAST(count(*) AS VARCHAR) AS total_records, CAST(max(rating) AS VARCHAR) AS rating_max,
@@ -853,9 +870,7 @@ SELECT {id_user}, rating, CASE WHEN rating >= 4 THEN 'positive' WHEN rating <= 2
         "business_features_orders": _with(
             "order_reviews", _business_features("order_reviews", "order_reviews.*")
         ),
-        "features": _with("clean", f"""
-SELECT *, positive_word_count - negative_word_count AS sentiment_score FROM (
-{_business_features('clean', f'clean.* REPLACE (round(rating, 6) AS rating), {_TEMPORAL}, {_FLAGS}, {_LEXICON}, {_INTERACTION}')})"""),
+        "features": _with("clean", _features_of("clean")),
         "check_types": _with("reviews", _check_types("reviews")),
         "range_rating": _with("reviews", _range_rating("reviews")),
         "range_text_length": _with("reviews", _range_lengths("reviews")),
@@ -898,7 +913,7 @@ FROM (SELECT {_RATIOS} FROM reviews)"""),
             "events", "value", f"event_id, user_id, {_r('value')} AS value"
         ),
         "outliers_iqr_orders": _with(
-            "order_reviews", _iqr("order_reviews", "useful_votes", "order_reviews.*")
+            "order_reviews", _iqr("order_reviews", "useful_votes", "order_reviews.*", 0.5)
         ),
         "outliers_zscore": _with("reviews", _z("reviews", "useful_votes", f"{id_user}, useful_votes")),
         "outliers_zscore_events": _z(
@@ -915,10 +930,30 @@ FROM (SELECT {_RATIOS} FROM reviews)"""),
         "missing_patterns": _with("reviews", _missing_patterns("reviews")),
         "anomaly_alert": _with("reviews_dup", _alert_row("reviews_dup")),
         "anomaly_report": _with("reviews_dup", _anomaly_report("reviews_dup")),
-        "job_summary": _with("clean_dup", f"""
-SELECT (SELECT count(*) FROM clean_dup) AS clean_reviews, CAST({len(_CLEAN_COLUMNS) + 16} AS BIGINT)
-    AS feature_columns,
+        "job_summary": _with("clean_dup", _job_summary(features=True)),
+        "job_short": _with("clean_dup", _job_summary(features=False)),
+        "job_features": _with("clean_dup", _features_of("clean_dup")),
+        "job_anomalies": _with("clean_dup", f"""
+SELECT CAST(total_outliers AS VARCHAR) AS total_outliers,
+  CAST(exact_duplicates AS VARCHAR) AS exact_duplicates, alert,
+  (SELECT min(review_id) FROM ({_duplicate_rows('clean_dup', _CLEAN_COLUMNS)})
+   WHERE duplicate_set = 'all_columns') AS first_exact_duplicate
+FROM ({_alert_row('clean_dup', _CLEAN_COLUMNS)})"""),
+        "job_bias": _with("clean_dup", _bias_analysis("clean_dup")),
+    }
+
+
+def _job_summary(features: bool) -> str:
+    shown = f"CAST({len(_CLEAN_COLUMNS) + 16} AS BIGINT) AS feature_columns," if features else ""
+    return f"""
+SELECT (SELECT count(*) FROM clean_dup) AS clean_reviews, {shown}
   validation_passed, issues, total_outliers, pattern_types, alert,
   (SELECT {_VERDICT} FROM (SELECT {_RATIOS} FROM clean_dup)) AS bias_detected
-FROM ({_verdict('clean_dup', _CLEAN_COLUMNS)}), ({_alert_row('clean_dup', _CLEAN_COLUMNS)})"""),
-    }
+FROM ({_verdict('clean_dup', _CLEAN_COLUMNS)}), ({_alert_row('clean_dup', _CLEAN_COLUMNS)})"""
+
+
+def _features_of(source: str) -> str:
+    shown = f"{source}.* REPLACE (round(rating, 6) AS rating), {_TEMPORAL}, {_FLAGS}, {_LEXICON}, {_INTERACTION}"
+    return f"""
+SELECT *, positive_word_count - negative_word_count AS sentiment_score FROM (
+{_business_features(source, shown)})"""

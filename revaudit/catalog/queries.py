@@ -12,9 +12,9 @@ from revaudit.catalog.tables import order_reviews, reviews, reviews_dup, table
 from revaudit.functions.text import sentiment_label
 from revaudit.operators import anomaly, bias, clean, duplicates, features, generate, validate
 from revaudit.operators.facts import facts
-from revaudit.operators.scratch import new_path
+from revaudit.operators.scratch import new_path, settle
 from revaudit.plans.report import bias_report
-from revaudit.plans.review_job import process
+from revaudit.plans.review_job import STAGES, process
 from revaudit.settings import Settings
 from revaudit.sources.readers import load_reviews, read_reviews_csv
 from revaudit.sources.writers import write_csv, write_json
@@ -61,6 +61,10 @@ def _cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean.preprocess(reviews(spark, sf_dir))
 
 
+def _stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return settle(_cleaned(spark, sf_dir), "cleaned")
+
+
 def _worded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean.add_cleaned_text(reviews(spark, sf_dir))
 
@@ -93,6 +97,20 @@ def _acquire(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load_reviews(spark, "parquet", f"{sf_dir}/conversations.parquet")
 
 
+@_query("acquire_local")
+def _acquire_local(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the local source finds is read as it is and not generated again."""
+    path = new_path(spark, "reviews-local")
+    write_csv(reviews(spark, sf_dir), path)
+    return load_reviews(spark, "local", path)
+
+
+@_query("acquire_table")
+def _acquire_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    order_reviews(spark, sf_dir).createOrReplaceTempView("acquired_reviews")
+    return load_reviews(spark, "table", "acquired_reviews")
+
+
 _on("acquire_profile", reviews, validate.acquire_profile)
 _on("synth_reviews_basic", _order_ids, lambda ids: generate.synthetic_reviews(ids, "basic", SEED))
 _on(
@@ -121,8 +139,8 @@ _on("rating_counts", reviews, bias.rating_counts)
 @_query("write_clean")
 def _write_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "clean-csv")
-    write_csv(_cleaned(spark, sf_dir).drop("text"), path)
-    return read_reviews_csv(spark, path, multi_line=False)
+    write_csv(_cleaned(spark, sf_dir), path)
+    return read_reviews_csv(spark, path)
 
 
 @_query("validation_json")
@@ -199,7 +217,7 @@ _on(
 )
 _on(
     "normalize_votes",
-    _cleaned,
+    _stored,
     lambda df: clean.normalize_votes(df).select(
         "review_id", "user_id", "useful_votes", "useful_votes_normalized"
     ),
@@ -271,7 +289,7 @@ _on("business_stats", reviews, features.business_stats)
 _on("business_stats_orders", order_reviews, features.business_stats)
 _on("business_features", reviews, lambda df: features.business_features(df).drop("text"))
 _on("business_features_orders", order_reviews, features.business_features)
-_on("features", _cleaned, features.create_features)
+_on("features", _stored, features.create_features)
 
 # Validation.
 
@@ -328,7 +346,11 @@ _on(
     ),
 )
 _on("outliers_iqr_events", _events, lambda df: anomaly.outliers_iqr(df, "value"))
-_on("outliers_iqr_orders", order_reviews, lambda df: anomaly.outliers_iqr(df, "useful_votes"))
+_on(
+    "outliers_iqr_orders",
+    order_reviews,
+    lambda df: anomaly.outliers_iqr(df, "useful_votes", Settings(iqr_multiplier=0.5)),
+)
 _on(
     "outliers_zscore",
     reviews,
@@ -353,3 +375,39 @@ _on("anomaly_report", reviews_dup, lambda df: facts(anomaly.anomaly_report(df)))
 @_query("job_summary")
 def _job_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return process(reviews_dup(spark, sf_dir), new_path(spark, "review-job"))
+
+
+@_query("job_short")
+def _job_short(spark: SparkSession, sf_dir: str) -> DataFrame:
+    short = [name for name in STAGES if name != "features"]
+    return process(reviews_dup(spark, sf_dir), new_path(spark, "review-job"), stages=short)
+
+
+def _job_output(spark: SparkSession, sf_dir: str, stage: str) -> str:
+    path = new_path(spark, "review-job")
+    process(reviews_dup(spark, sf_dir), path, stages=[stage])
+    return path
+
+
+@_query("job_features")
+def _job_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{_job_output(spark, sf_dir, 'features')}/features")
+
+
+@_query("job_bias")
+def _job_bias(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{_job_output(spark, sf_dir, 'bias')}/bias_analysis")
+
+
+@_query("job_anomalies")
+def _job_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    document = F.col("value")
+    asked = {
+        "total_outliers": "$.total_outliers",
+        "exact_duplicates": "$.duplicates.exact_duplicates",
+        "alert": "$.alert",
+        "first_exact_duplicate": "$.duplicates.exact_sample[0]",
+    }
+    return spark.read.text(f"{_job_output(spark, sf_dir, 'anomalies')}/anomalies").select(
+        *[F.get_json_object(document, at).alias(name) for name, at in asked.items()]
+    )

@@ -9,9 +9,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from revaudit.functions.stats import percent_of, z_score
-from revaudit.operators.duplicates import duplicate_counts, repeated_reviews
+from revaudit.operators.duplicates import (
+    ALL_SETS,
+    BY_BUSINESS,
+    duplicate_report,
+    keyed_reviews,
+    repeated_reviews,
+)
 from revaudit.operators.quantiles import quantiles
-from revaudit.operators.subquery import as_scalar, row_total, with_scalar
+from revaudit.operators.subquery import as_scalar, with_scalar
 from revaudit.schema import NUMERIC_COLUMNS
 from revaudit.settings import Settings
 
@@ -82,6 +88,8 @@ def outlier_counts(
 ) -> DataFrame:
     """Number of outliers per column and method, all counted in one scan."""
     present = [name for name in columns if name in df.columns]
+    if not present:
+        return df.sparkSession.createDataFrame([], "column string, method string, outliers bigint")
     cuts = quantiles(df, {name: [0.25, 0.75] for name in present})
     measured = (
         df.select(*present)
@@ -100,13 +108,40 @@ def outlier_counts(
     )
 
 
+def outlier_rows(
+    df: DataFrame, columns: Sequence[str] = NUMERIC_COLUMNS, settings: Settings = Settings()
+) -> DataFrame:
+    """Rows that any test finds, with the tests that found them as ``column.method``."""
+    present = [name for name in columns if name in df.columns]
+    if not present:
+        return df.withColumn("found_by", F.array().cast("array<string>")).filter(F.lit(False))
+    tests = [
+        F.when(test, F.lit(f"{name}.{method}"))
+        for name in present
+        for method, test in (("iqr", _iqr_test(name, settings)), ("zscore", _z_test(name, settings)))
+    ]
+    found = _bounded(df, present, settings).withColumn("found_by", F.array_compact(F.array(*tests)))
+    return found.filter(F.size("found_by") > 0).drop("cuts", "moments")
+
+
 def _first_ids(hits: DataFrame, first: int) -> DataFrame:
-    """How many rows were hit, and the lowest review ids among them."""
+    """How many rows were hit, and the lowest review ids among them.
+
+    Each input partition is counted and cut to its lowest ids; both parts of the result read that.
+    """
+    own = Window.partitionBy("part")
+    by_id = own.orderBy(F.col("review_id").asc_nulls_last())
+    lowest = (
+        hits.select("review_id", F.spark_partition_id().alias("part"))
+        .withColumn("hits", F.count(F.lit(1)).over(own))
+        .withColumn("place", F.row_number().over(by_id))
+        .filter(F.col("place") <= first)
+    )
+    total = lowest.agg(F.sum(F.when(F.col("place") == 1, F.col("hits"))).alias("n")).scalar()
     return (
-        hits.select("review_id")
-        .orderBy(F.col("review_id").asc_nulls_last())
+        lowest.orderBy(F.col("review_id").asc_nulls_last())
         .limit(first)
-        .select(row_total(hits).alias("matches"), "review_id")
+        .select(total.alias("matches"), "review_id")
     )
 
 
@@ -123,51 +158,62 @@ def _vote_threshold(df: DataFrame, settings: Settings) -> Column:
     return cut.select(F.element_at("useful_votes", 1).alias("threshold")).scalar()
 
 
+def _no_ids(df: DataFrame) -> DataFrame:
+    return df.select(F.lit(0).cast("bigint").alias("matches"), "review_id").filter(F.lit(False))
+
+
 def suspicious_short(df: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    if "text_length" not in df.columns:
+        return _no_ids(df)
     return _first_ids(df.filter(_is_short(settings)), settings.sample_rows)
 
 
 def suspicious_votes(df: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Low ratings whose useful votes exceed the 95th percentile."""
+    if not {"useful_votes", "rating"} <= set(df.columns):
+        return _no_ids(df)
     odd = _has_odd_votes(_vote_threshold(df, settings), settings)
     return _first_ids(df.filter(odd), settings.sample_rows)
 
 
-def _patterns(counted: DataFrame, counts: dict[tuple[str, str], str]) -> DataFrame:
-    """Pattern rows from a one-row table of counts; patterns without a hit are left out."""
-    cells = [
-        part
-        for (kind, description), name in counts.items()
-        for part in (F.lit(kind), F.col(name), F.lit(description))
-    ]
-    return counted.select(
-        F.stack(F.lit(len(counts)), *cells).alias("type", "count", "description")
-    ).filter(F.col("count") > 0)
-
-
-def _pattern_measures(df: DataFrame, threshold: Column, settings: Settings) -> dict[str, Column]:
+def _pattern_measures(df: DataFrame, threshold: Column | None, settings: Settings) -> dict:
+    """A count for each pattern whose columns are there, by the pattern's name and description."""
     measures = {}
     if "text_length" in df.columns:
-        measures["short_reviews"] = F.count_if(_is_short(settings))
+        measures[SHORT_REVIEWS] = F.count_if(_is_short(settings))
     if {"useful_votes", "rating"} <= set(df.columns):
-        measures["odd_votes"] = F.count_if(_has_odd_votes(threshold, settings))
+        measures[SUSPICIOUS_VOTES] = F.count_if(_has_odd_votes(threshold, settings))
     return measures
 
 
+def _has_business_texts(df: DataFrame) -> bool:
+    return {"business_id", "text"} <= set(df.columns)
+
+
 def suspicious_summary(df: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """Each pattern that occurs: type, count and description."""
-    measures = _pattern_measures(df, _vote_threshold(df, settings), settings)
-    counted = df.agg(*[column.alias(name) for name, column in measures.items()]).withColumn(
-        "repeated", repeated_reviews(df).scalar()
-    )
-    return _patterns(
-        counted,
-        {
-            SHORT_REVIEWS: "short_reviews",
-            SUSPICIOUS_VOTES: "odd_votes",
-            REPEATED_REVIEWS: "repeated",
-        },
+    """Each pattern that occurs: type, count and description. Absent columns have no pattern."""
+    votes = {"useful_votes", "rating"} <= set(df.columns)
+    threshold = _vote_threshold(df, settings) if votes else None
+    measures = _pattern_measures(df, threshold, settings)
+    counted = df.agg(
+        F.count(F.lit(1)).alias("rows"),
+        *[column.alias(kind) for (kind, _), column in measures.items()],
     )
+    patterns = list(measures)
+    if _has_business_texts(df):
+        counted = counted.withColumn(REPEATED_REVIEWS[0], repeated_reviews(df).scalar())
+        patterns.append(REPEATED_REVIEWS)
+    if not patterns:
+        empty = "type string, count bigint, description string"
+        return df.sparkSession.createDataFrame([], empty)
+    cells = [
+        part
+        for kind, description in patterns
+        for part in (F.lit(kind), F.col(kind), F.lit(description))
+    ]
+    return counted.select(
+        F.stack(F.lit(len(patterns)), *cells).alias("type", "count", "description")
+    ).filter(F.col("count") > 0)
 
 
 def missing_counts(df: DataFrame) -> DataFrame:
@@ -188,12 +234,15 @@ def missing_counts(df: DataFrame) -> DataFrame:
     )
 
 
-def missing_patterns(df: DataFrame, first: int = 10) -> DataFrame:
+def missing_patterns(
+    df: DataFrame, first: int | None = None, settings: Settings = Settings()
+) -> DataFrame:
     """Per column with nulls: count, percentage and the lowest review ids that lack it.
 
     The rank limit is applied in every task before the shuffle, so a column that is null in
     most rows sends only a few rows on.
     """
+    first = settings.sample_rows if first is None else first
     names = [F.when(F.col(name).isNull(), F.lit(name)) for name in df.columns]
     by_id = Window.partitionBy("column").orderBy(F.col("review_id").asc_nulls_last())
     rows = (
@@ -233,48 +282,103 @@ def _bounded(df: DataFrame, columns: Sequence[str], settings: Settings) -> DataF
     )
 
 
-def _null_measures(df: DataFrame) -> Column:
-    def missing(name: str) -> Column:
-        count = F.count_if(F.col(name).isNull())
-        percentage = percent_of(count, F.count(F.lit(1)))
-        return F.struct(count.alias("missing_count"), percentage.alias("missing_percentage"))
+def _sample(hits: DataFrame) -> Column:
+    """The ids of a table of matches and review ids, as one array."""
+    ids = F.collect_list(F.struct("review_id"))
+    ordered = F.array_sort(ids, lambda x, y: _nulls_last(x["review_id"], y["review_id"]))
+    return hits.agg(F.transform(ordered, lambda x: x["review_id"]).alias("ids")).scalar()
+
+
+def _nulls_last(x: Column, y: Column) -> Column:
+    return (
+        F.when(x.isNull(), F.when(y.isNull(), 0).otherwise(1))
+        .when(y.isNull(), -1)
+        .when(x < y, -1)
+        .when(x > y, 1)
+        .otherwise(0)
+    )
+
+
+def _missing_listed(df: DataFrame, settings: Settings) -> Column:
+    """The columns with nulls, each with count, percentage and the lowest ids."""
+    ids = F.transform(
+        F.array_sort(F.collect_list(F.struct("position", "review_id"))), lambda x: x["review_id"]
+    )
+    per_column = (
+        missing_patterns(df, settings=settings)
+        .groupBy("column", "missing_count", "missing_percentage")
+        .agg(ids.alias("sample"))
+    )
+    rows = F.struct("column", "missing_count", "missing_percentage", "sample")
+    return per_column.agg(F.array_sort(F.collect_list(rows)).alias("listed")).scalar()
+
+
+def stored_keys(df: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """The keys that the duplicate report compares."""
+    return keyed_reviews(df, (*ALL_SETS, BY_BUSINESS) if _has_business_texts(df) else ALL_SETS)
 
-    return F.struct(*[missing(name).alias(name) for name in df.columns])
 
+def anomaly_report(
+    df: DataFrame, settings: Settings = Settings(), duplicates: DataFrame | None = None
+) -> DataFrame:
+    """One nested row: outliers per column and method, duplicates, patterns, nulls, the alert.
 
-def anomaly_report(df: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """One nested row: outliers per column and method, duplicates, patterns, nulls, the alert."""
+    Duplicates, patterns and columns with nulls come with the lowest review ids that have them; only
+    patterns that occur and columns with nulls are listed. ``duplicates`` is the one-row result of
+    ``duplicate_report`` if the caller has it already.
+    """
     present = [name for name in NUMERIC_COLUMNS if name in df.columns]
     patterns = _pattern_measures(df, F.col("cuts.useful_votes")[2], settings)
-    measures = {"missing_patterns": _null_measures(df), **patterns}
+    measures = {kind: column for (kind, _), column in patterns.items()}
     if present:
         measures["outliers"] = _outlier_measures(present, settings)
+    measures["rows"] = F.count(F.lit(1))
     scanned = _bounded(df, present, settings).agg(
         *[column.alias(name) for name, column in measures.items()]
     )
-    added = {"duplicates": as_scalar(duplicate_counts(df))}
-    if {"business_id", "text"} <= set(df.columns):
-        added["repeated_groups"] = repeated_reviews(df).scalar()
-    counted = [*patterns, *[name for name in added if name == "repeated_groups"]]
+    if duplicates is None:
+        duplicates = duplicate_report(stored_keys(df), settings.sample_rows)
+    none = F.array().cast(f"array<{dict(df.dtypes)['review_id']}>")
+    hits = {SHORT_REVIEWS: suspicious_short, SUSPICIOUS_VOTES: suspicious_votes}
+    samples = {known: _sample(hits[known](df, settings)) for known in patterns}
+    if _has_business_texts(df):
+        samples[REPEATED_REVIEWS] = none
+
+    summed = scanned.withColumn("found", as_scalar(duplicates)).withColumns(
+        {REPEATED_REVIEWS[0]: F.col("found.repeated_groups"), "missing": _missing_listed(df, settings)}
+    )
+    listed = [
+        F.when(
+            F.col(kind) > 0,
+            F.struct(
+                F.lit(kind).alias("type"),
+                F.col(kind).alias("count"),
+                F.lit(description).alias("description"),
+                sample.alias("sample"),
+            ),
+        )
+        for (kind, description), sample in samples.items()
+    ]
     counts = [
         F.col(f"outliers.`{name}`.{method}") for name in present for method in ("iqr", "zscore")
     ]
-    occurring = [(F.col(name) > 0).cast("bigint") for name in counted]
-    summed = scanned.withColumns(added).withColumns(
+    occurring = [(F.col(kind) > 0).cast("bigint") for kind, _ in samples]
+    summed = summed.withColumns(
         {
             "total_outliers": sum(counts, F.lit(0).cast("bigint")),
             "pattern_types": sum(occurring, F.lit(0).cast("bigint")),
         }
     )
     alert = _alert(
-        F.col("total_outliers"), F.col("duplicates.exact_duplicates"), F.col("pattern_types")
+        F.col("total_outliers"), F.col("found.exact_duplicates"), F.col("pattern_types")
     )
     parts = ["outliers"] if present else []
-    parts.append("duplicates")
-    if counted:
-        parts.append(F.struct(*counted).alias("suspicious_patterns"))
+    parts.append(F.col("found").dropFields("repeated_groups").alias("duplicates"))
+    if listed:
+        parts.append(F.array_compact(F.array(*listed)).alias("suspicious_patterns"))
     return summed.select(
-        *parts, "missing_patterns", "total_outliers", "pattern_types", alert.alias("alert")
+        *parts, F.col("missing").alias("missing_patterns"), "total_outliers", "pattern_types",
+        alert.alias("alert"),
     )
 
 

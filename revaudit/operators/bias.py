@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from revaudit.functions.stats import adjusted_skewness, pearson, percent_of, share
 from revaudit.operators.facts import facts
 from revaudit.operators.quantiles import median
-from revaudit.operators.subquery import row_total
 from revaudit.schema import CATEGORY_COLUMNS
 from revaudit.settings import Settings
 
@@ -114,25 +113,52 @@ def bias_recommendations(df: DataFrame, settings: Settings = Settings()) -> Data
     ).withColumn("position", F.col("position") + 1)
 
 
-def category_bias(df: DataFrame, category: str) -> DataFrame:
-    """Per value: count, percentage of all rows, mean and deviation of the rating.
-
-    Rows without a value form a group of count 0 without statistics.
-    """
+def _per_category(df: DataFrame, category: str) -> DataFrame:
+    """Per value: count, mean and deviation of the rating; the missing value has count 0."""
     known = F.col("category").isNotNull()
-    count = F.count("category")
     return (
         df.select(F.col(category).cast("string").alias("category"), "rating")
         .groupBy("category")
         .agg(
-            count.alias("count"),
+            F.count("category").alias("count"),
             F.avg(F.when(known, F.col("rating"))).alias("avg_rating"),
             F.stddev_samp(F.when(known, F.col("rating"))).alias("rating_std"),
+            F.count(F.lit(1)).alias("rows"),
         )
-        .withColumn("percentage", percent_of(F.col("count"), row_total(df)))
     )
 
 
+def _category_table(groups: DataFrame) -> DataFrame:
+    """The groups with percentages of all rows, which the groups themselves add up to."""
+    total = groups.agg(F.sum("rows").alias("n")).scalar()
+    return groups.withColumn("percentage", percent_of(F.col("count"), total)).drop("rows")
+
+
+def _imbalance(groups: DataFrame) -> DataFrame:
+    name = F.coalesce("category", F.lit("nan"))
+    largest, smallest = F.max("count"), F.min("count")
+    # Names tell groups apart already; reading the other columns keeps one grouping in the plan.
+    rest = [F.col(c) for c in groups.columns if c not in ("category", "count")]
+    return groups.agg(
+        F.when(smallest > 0, largest / smallest)
+        .when(smallest == 0, F.lit(float("inf")))
+        .alias("imbalance_ratio"),
+        F.min_by(name, F.struct(-F.col("count"), name, *rest)).alias("most_common"),
+        F.min_by(name, F.struct("count", name, *rest)).alias("least_common"),
+    )
+
+
+def category_bias(df: DataFrame, category: str) -> DataFrame:
+    """Per value: count, percentage of all rows, mean and deviation of the rating.
+
+    Rows without a value form a group of count 0 without statistics. An absent column has no rows.
+    """
+    if category not in df.columns:
+        empty = "category string, count bigint, avg_rating double, rating_std double, percentage double"
+        return df.sparkSession.createDataFrame([], empty)
+    return _category_table(_per_category(df, category))
+
+
 def category_imbalance(df: DataFrame, category: str) -> DataFrame:
     """One row: largest over smallest count, and both values' names; ties take the lowest name."""
     counts = (
@@ -140,19 +166,14 @@ def category_imbalance(df: DataFrame, category: str) -> DataFrame:
         .groupBy("category")
         .agg(F.count("category").alias("count"))
     )
-    name = F.coalesce("category", F.lit("nan"))
-    largest, smallest = F.max("count"), F.min("count")
-    return counts.agg(
-        F.when(smallest > 0, largest / smallest)
-        .when(smallest == 0, F.lit(float("inf")))
-        .alias("imbalance_ratio"),
-        F.min_by(name, F.struct(-F.col("count"), name)).alias("most_common"),
-        F.min_by(name, F.struct("count", name)).alias("least_common"),
-    )
+    return _imbalance(counts)
 
 
 def monthly_trend(df: DataFrame) -> DataFrame:
-    """Per calendar month: mean, deviation and number of ratings."""
+    """Per calendar month: mean, deviation and number of ratings; no rows without dates."""
+    if "date" not in df.columns:
+        empty = "month string, avg_rating double, rating_std double, count bigint"
+        return df.sparkSession.createDataFrame([], empty)
     return (
         df.select(F.date_format(F.col("date").cast("date"), "yyyy-MM").alias("month"), "rating")
         .filter(F.col("month").isNotNull())
@@ -180,7 +201,10 @@ def _length_bins() -> Column:
 
 
 def length_bias(df: DataFrame) -> DataFrame:
-    """Mean and number of ratings per text-length bin, empty bins included."""
+    """Mean and number of ratings per text-length bin, empty bins included; none without lengths."""
+    if "text_length" not in df.columns:
+        empty = "length_category string, mean double, count bigint"
+        return df.sparkSession.createDataFrame([], empty)
     labels = [label for label, *_ in LENGTH_BINS]
     cells = [part for label in labels for part in (F.lit(label), F.col(f"bins.{label}"))]
     return (
@@ -194,7 +218,16 @@ def length_rating_corr(df: DataFrame) -> DataFrame:
     return df.agg(pearson(F.col("text_length"), F.col("rating")).alias("correlation"))
 
 
-def bias_summary(df: DataFrame, settings: Settings = Settings()) -> DataFrame:
+def category_tables(df: DataFrame) -> dict[str, DataFrame]:
+    """The grouping of each category column that is there."""
+    return {c: _per_category(df, c) for c in CATEGORY_COLUMNS if c in df.columns}
+
+
+def bias_summary(
+    df: DataFrame,
+    settings: Settings = Settings(),
+    categories: dict[str, DataFrame] | None = None,
+) -> DataFrame:
     """One nested row: rating summary and verdict, length bins, imbalance per category column."""
     rating = F.col("rating")
     measures = [
@@ -224,10 +257,9 @@ def bias_summary(df: DataFrame, settings: Settings = Settings()) -> DataFrame:
     parts = [distribution.alias("rating_distribution")]
     if "text_length" in df.columns:
         parts.append(F.col("text_length_bias"))
-    for category in CATEGORY_COLUMNS:
-        if category in df.columns:
-            imbalance = category_imbalance(df, category).select(F.struct("*")).scalar()
-            parts.append(imbalance.alias(f"{category}_bias"))
+    for category, groups in (category_tables(df) if categories is None else categories).items():
+        imbalance = _imbalance(groups).select(F.struct("*")).scalar()
+        parts.append(imbalance.alias(f"{category}_bias"))
     return scanned.select(*parts)
 
 
@@ -245,16 +277,30 @@ def _table_facts(table: DataFrame, section: str, key: str) -> DataFrame:
 
 def bias_analysis(df: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """The whole analysis as (path, number, label) rows; its size may grow with the categories."""
-    out = facts(bias_summary(df, settings))
-    out = out.unionByName(
-        _table_facts(rating_distribution(df), "rating_distribution.distribution", "rating")
+    return bias_facts(bias_summary(df, settings), *bias_tables(df))
+
+
+def bias_tables(df: DataFrame) -> tuple[DataFrame, dict[str, DataFrame], DataFrame | None]:
+    """Ratings, categories and months, each counted once."""
+    months = monthly_trend(df) if "date" in df.columns else None
+    return rating_counts(df), category_tables(df), months
+
+
+def bias_facts(
+    summary: DataFrame,
+    ratings: DataFrame,
+    categories: dict[str, DataFrame],
+    months: DataFrame | None,
+) -> DataFrame:
+    """The parts of the analysis as one table of facts."""
+    known = ratings.agg(F.sum("reviews").alias("n")).scalar()
+    shares = ratings.select("rating", (F.col("reviews") / known).alias("share"))
+    out = facts(summary).unionByName(
+        _table_facts(shares, "rating_distribution.distribution", "rating")
     )
-    for category in CATEGORY_COLUMNS:
-        if category in df.columns:
-            section = f"{category}_bias.categories"
-            out = out.unionByName(_table_facts(category_bias(df, category), section, "category"))
-    if "date" in df.columns:
-        out = out.unionByName(
-            _table_facts(monthly_trend(df), "temporal_bias.monthly_trend", "month")
-        )
+    for category, groups in categories.items():
+        section = f"{category}_bias.categories"
+        out = out.unionByName(_table_facts(_category_table(groups), section, "category"))
+    if months is not None:
+        out = out.unionByName(_table_facts(months, "temporal_bias.monthly_trend", "month"))
     return out

@@ -7,10 +7,14 @@ from pyspark.sql import functions as F
 
 from revaudit.functions import text as tx
 from revaudit.operators.quantiles import median
+from revaudit.operators.scratch import settle
 from revaudit.operators.subquery import with_scalar
 from revaudit.schema import VOTE_COLUMNS
 from revaudit.settings import Settings
 
+# An id is a short string, so this many stay far below a broadcast's limits.
+BROADCAST_IDS = 200_000
+
 
 def fill_text(df: DataFrame) -> DataFrame:
     return df.na.fill("", subset=["text"]) if "text" in df.columns else df
@@ -84,15 +88,27 @@ def filter_length(df: DataFrame, shortest: int = 10, longest: int = 5000) -> Dat
     return df.filter(F.col("text_length").between(shortest, longest))
 
 
-def drop_duplicate_ids(df: DataFrame) -> DataFrame:
+def drop_duplicate_ids(df: DataFrame, broadcast_up_to: int = BROADCAST_IDS) -> DataFrame:
     """One row per review id, the one with the lowest text.
 
-    A minimum over structs combines on the map side, so a very frequent id costs one row per
-    task; ranking its rows in a window would put them all into one.
+    Ids are counted first, and only rows of repeated ids are put together; rows of other ids stay
+    where they are. Up to ``broadcast_up_to`` repeated ids are broadcast. A minimum over structs
+    combines on the map side, so a very frequent id costs one row per task.
     """
+    counted = df.groupBy("review_id").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
+    repeated = settle(counted.select(F.col("review_id").alias("repeated_id")), "repeated-ids")
+    if repeated.limit(broadcast_up_to + 1).count() <= broadcast_up_to:
+        repeated = F.broadcast(repeated)
+    same = F.col("review_id").eqNullSafe(F.col("repeated_id"))
     rest = [c for c in df.columns if c not in ("review_id", "text")]
-    kept = df.groupBy("review_id").agg(F.min(F.struct("text", *rest)).alias("kept"))
-    return kept.select("review_id", "kept.*").select(*df.columns)
+    kept = (
+        df.join(repeated, same, "left_semi")
+        .groupBy("review_id")
+        .agg(F.min(F.struct("text", *rest)).alias("kept"))
+        .select("review_id", "kept.*")
+        .select(*df.columns)
+    )
+    return df.join(repeated, same, "left_anti").unionByName(kept)
 
 
 def preprocess(df: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -105,5 +121,6 @@ def preprocess(df: DataFrame, settings: Settings = Settings()) -> DataFrame:
     if settings.filter_length:
         out = filter_length(out, settings.min_text_length, settings.max_text_length)
     if settings.rich_columns:
-        out = add_avg_word_length(out).transform(normalize_votes)
+        # Stored once, so that the votes' mean doesn't clean every text again.
+        out = settle(add_avg_word_length(out), "cleaned").transform(normalize_votes)
     return out

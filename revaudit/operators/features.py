@@ -87,9 +87,21 @@ def business_stats(df: DataFrame) -> DataFrame:
     return _per_business(df).drop("rows")
 
 
-def business_features(df: DataFrame, broadcast_up_to: int = BROADCAST_BUSINESSES) -> DataFrame:
+def settled_stats(df: DataFrame) -> DataFrame:
+    """The statistics of all businesses, stored for ``business_features``."""
+    return settle(_per_business(df), "business-stats")
+
+
+def business_features(
+    df: DataFrame,
+    broadcast_up_to: int = BROADCAST_BUSINESSES,
+    counted: DataFrame | None = None,
+) -> DataFrame:
     """Add each business's statistics to its reviews; no business, no statistics.
 
+    Hand in a stored table of reviews: a lazily cleaned one would be cleaned again for the
+    statistics. ``counted`` comes from ``settled_stats`` if the caller has it already.
+
     The statistics are computed once and counted. Up to ``broadcast_up_to`` businesses they are
     broadcast and the reviews stay where they are. Beyond that, only businesses holding more
     than 1/HOT_SHARE of the rows are broadcast (there are fewer than HOT_SHARE of those), and
@@ -97,7 +109,7 @@ def business_features(df: DataFrame, broadcast_up_to: int = BROADCAST_BUSINESSES
     """
     if "business_id" not in df.columns:
         return df
-    counted = settle(_per_business(df), "business-stats")
+    counted = settled_stats(df) if counted is None else counted
     stats = counted.drop("rows")
     order = [*df.columns, *[c for c in stats.columns if c != "business_id"]]
     if counted.limit(broadcast_up_to + 1).count() <= broadcast_up_to:

@@ -26,13 +26,13 @@ def _value_counts(df: DataFrame, names: Sequence[str]) -> DataFrame:
     return known.groupBy("name", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _in_buckets(counts: DataFrame) -> DataFrame:
-    """Add the bucket of each value: the number of marks below it."""
+def _in_buckets(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Add the bucket of each value among those of its key: the number of marks below it."""
     steps = ", ".join(f"{i / _BUCKETS}D" for i in range(1, _BUCKETS))
     cuts = F.expr(f"percentile_approx(value, array({steps}), {_MARK_ACCURACY})")
     # Reading n, too, lets Spark reuse the shuffle of the counts instead of pruning a second one.
     seen = counts.filter(F.col("n") > 0)
-    marks = seen.groupBy("name").agg(cuts.alias("marks"))
+    marks = seen.groupBy(*keys).agg(cuts.alias("marks"))
     # Binary search for the number of marks below a value, from half the marks down to one.
     halves = F.array(*[F.lit(_BUCKETS >> i) for i in range(1, _BUCKETS.bit_length())])
     bucket = F.aggregate(
@@ -42,10 +42,8 @@ def _in_buckets(counts: DataFrame) -> DataFrame:
             F.get("marks", place + step - 1) < F.col("value"), place + step
         ).otherwise(place),
     )
-    # One row of _BUCKETS - 1 marks per column: the broadcast does not grow with the data.
-    return counts.join(F.broadcast(marks), "name").select(
-        "name", "value", "n", bucket.alias("bucket")
-    )
+    # One row of _BUCKETS - 1 marks per key: the broadcast does not grow with the data.
+    return counts.join(F.broadcast(marks), list(keys)).withColumn("bucket", bucket).drop("marks")
 
 
 def _wanted_ranks(placed: DataFrame, wanted: Mapping[str, Sequence[float]]) -> DataFrame:
@@ -79,14 +77,37 @@ def _wanted_ranks(placed: DataFrame, wanted: Mapping[str, Sequence[float]]) -> D
     )
 
 
+def _narrowed(ranked: DataFrame) -> DataFrame:
+    """Cut the wanted buckets into buckets again and keep those that hold a wanted rank.
+
+    A column of 10^11 distinct values leaves buckets of a few hundred thousand.
+    """
+    keys = ["name", "slot", "outer"]
+    placed = _in_buckets(ranked.withColumnRenamed("bucket", "outer"), keys)
+    order = Window.partitionBy(*keys).orderBy("bucket")
+    reach = (
+        placed.groupBy(*keys, "bucket", "below", "low", "high")
+        .agg(F.sum("n").alias("size"))
+        .withColumn("upto", F.col("below") + F.sum("size").over(order))
+        .withColumn("start", F.col("upto") - F.col("size"))
+        .filter((F.col("start") <= F.col("high")) & (F.col("upto") > F.col("low")))
+        .select(*keys, "bucket", "start")
+    )
+    return placed.join(F.broadcast(reach), [*keys, "bucket"]).withColumn("below", F.col("start"))
+
+
+def wanted_values(df: DataFrame, wanted: Mapping[str, Sequence[float]]) -> DataFrame:
+    """The counted values of the buckets that hold a wanted rank, as they are put in order."""
+    placed = _in_buckets(_value_counts(df, list(wanted)), ["name"])
+    ranked = placed.join(F.broadcast(_wanted_ranks(placed, wanted)), ["name", "bucket"])
+    return _narrowed(ranked)
+
+
 def quantiles(df: DataFrame, wanted: Mapping[str, Sequence[float]]) -> DataFrame:
     """One row; per column an array with its quantiles, in the order asked for."""
-    placed = _in_buckets(_value_counts(df, list(wanted)))
-    ordered = Window.partitionBy("name", "slot", "bucket").orderBy("value")
+    ordered = Window.partitionBy("name", "slot", "outer", "bucket").orderBy("value")
     reached = F.col("below") + F.sum("n").over(ordered)
-    ranked = placed.join(F.broadcast(_wanted_ranks(placed, wanted)), ["name", "bucket"]).withColumn(
-        "reached", reached
-    )
+    ranked = wanted_values(df, wanted).withColumn("reached", reached)
 
     def quantile(name: str, slot: int) -> Column:
         own = (F.col("name") == name) & (F.col("slot") == slot)

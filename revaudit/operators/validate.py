@@ -173,9 +173,17 @@ def validation_verdict(df: DataFrame) -> DataFrame:
 
 
 def validation_report(
-    df: DataFrame, file_path: str | None = None, settings: Settings = Settings()
+    df: DataFrame,
+    file_path: str | None = None,
+    settings: Settings = Settings(),
+    duplicates: DataFrame | None = None,
 ) -> DataFrame:
-    """The whole validation as one nested row."""
+    """The whole validation as one nested row.
+
+    ``duplicates`` is the one-row result of ``duplicate_report`` if the caller has it already.
+    """
+    counts = ["duplicate_review_ids", "duplicate_texts", "exact_duplicates"]
+    found = dup.duplicate_counts(df) if duplicates is None else duplicates.select(*counts)
     checked = df.agg(
         _rows().alias("total_records"),
         _named(_type_checks(df, EXPECTED_TYPES)).alias("data_types"),
@@ -183,7 +191,7 @@ def validation_report(
         _named({name: _missing(name) for name in df.columns}).alias("missing_values"),
     )
     nulls = {name: F.col(f"missing_values.`{name}`.missing_count") for name in df.columns}
-    whole = checked.withColumn("duplicates", as_scalar(dup.duplicate_counts(df)))
+    whole = checked.withColumn("duplicates", as_scalar(found))
     return whole.withColumn(
         "issues", _issues(df, F.col("duplicates.duplicate_review_ids"), nulls)
     ).select(

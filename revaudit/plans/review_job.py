@@ -9,16 +9,19 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revaudit.operators.anomaly import anomaly_report
-from revaudit.operators.bias import bias_analysis, bias_summary, monthly_trend
+from revaudit.operators.anomaly import anomaly_report, outlier_rows, stored_keys
+from revaudit.operators.bias import bias_facts, bias_summary, bias_tables
 from revaudit.operators.clean import preprocess
+from revaudit.operators.duplicates import duplicate_report
 from revaudit.operators.features import create_features
+from revaudit.operators.scratch import settle
 from revaudit.operators.validate import validation_report
 from revaudit.plans.report import render
 from revaudit.settings import Settings
@@ -26,18 +29,31 @@ from revaudit.sources.readers import load_reviews
 from revaudit.sources.writers import write_json, write_parquet, write_text
 
 
-def _features(clean: DataFrame, base: str, settings: Settings, now: str) -> dict[str, Column]:
-    features = create_features(clean, settings)
-    write_parquet(features, f"{base}/features")
+@dataclass(frozen=True)
+class Job:
+    """What the stages share."""
+
+    clean: DataFrame
+    duplicates: DataFrame | None
+    base: str
+    settings: Settings
+    now: str
+
+
+def _features(job: Job) -> dict[str, Column]:
+    features = create_features(job.clean, job.settings)
+    write_parquet(features, f"{job.base}/features")
     return {"feature_columns": F.lit(len(features.columns)).cast("bigint")}
 
 
-def _validation(clean: DataFrame, base: str, settings: Settings, now: str) -> dict[str, Column]:
-    report = validation_report(clean, f"{base}/clean_reviews", settings)
+def _validation(job: Job) -> dict[str, Column]:
+    report = validation_report(
+        job.clean, f"{job.base}/clean_reviews", job.settings, job.duplicates
+    )
     found = report.first()
-    saved = clean.sparkSession.createDataFrame([found], report.schema)
+    saved = job.clean.sparkSession.createDataFrame([found], report.schema)
     write_json(
-        saved.withColumn("validation_timestamp", F.lit(now)), f"{base}/validation_results"
+        saved.withColumn("validation_timestamp", F.lit(job.now)), f"{job.base}/validation_results"
     )
     return {
         "validation_passed": F.lit(found["validation_passed"]),
@@ -45,10 +61,12 @@ def _validation(clean: DataFrame, base: str, settings: Settings, now: str) -> di
     }
 
 
-def _anomalies(clean: DataFrame, base: str, settings: Settings, now: str) -> dict[str, Column]:
-    report = anomaly_report(clean, settings)
+def _anomalies(job: Job) -> dict[str, Column]:
+    write_parquet(outlier_rows(job.clean, settings=job.settings), f"{job.base}/outliers")
+    report = anomaly_report(job.clean, job.settings, job.duplicates)
     found = report.first()
-    write_json(clean.sparkSession.createDataFrame([found], report.schema), f"{base}/anomalies")
+    saved = job.clean.sparkSession.createDataFrame([found], report.schema)
+    write_json(saved, f"{job.base}/anomalies")
     return {
         "total_outliers": F.lit(found["total_outliers"]).cast("bigint"),
         "pattern_types": F.lit(found["pattern_types"]).cast("bigint"),
@@ -56,15 +74,20 @@ def _anomalies(clean: DataFrame, base: str, settings: Settings, now: str) -> dic
     }
 
 
-def _bias(clean: DataFrame, base: str, settings: Settings, now: str) -> dict[str, Column]:
-    write_parquet(bias_analysis(clean, settings), f"{base}/bias_analysis")
-    summary = bias_summary(clean, settings).first().asDict()
-    months = monthly_trend(clean).orderBy("month").collect() if "date" in clean.columns else None
-    write_text(clean.sparkSession, render(summary, months, now), f"{base}/bias_report")
-    return {"bias_detected": F.lit(summary["rating_distribution"]["bias_detected"])}
+def _bias(job: Job) -> dict[str, Column]:
+    ratings, categories, months = bias_tables(job.clean)
+    ratings = settle(ratings, "ratings")
+    categories = {name: settle(groups, "categories") for name, groups in categories.items()}
+    months = None if months is None else settle(months, "months")
+    summary = settle(bias_summary(job.clean, job.settings, categories), "bias-summary")
+    write_parquet(bias_facts(summary, ratings, categories, months), f"{job.base}/bias_analysis")
+    found = summary.first().asDict()
+    listed = None if months is None else months.orderBy("month").collect()
+    write_text(job.clean.sparkSession, render(found, listed, job.now), f"{job.base}/bias_report")
+    return {"bias_detected": F.lit(found["rating_distribution"]["bias_detected"])}
 
 
-Stage = Callable[[DataFrame, str, Settings, str], dict[str, Column]]
+Stage = Callable[[Job], dict[str, Column]]
 
 STAGES: dict[str, Stage] = {
     "features": _features,
@@ -93,12 +116,15 @@ def process(
     summary = clean.agg(F.count(F.lit(1)).alias("clean_reviews"))
     if not stages:
         return summary
+    duplicates = None
+    if {"validation", "anomalies"} & set(stages):
+        # One digest and one shuffle of each review serve both reports.
+        keys = settle(stored_keys(clean), "duplicate-keys")
+        duplicates = settle(duplicate_report(keys, settings.sample_rows), "duplicates")
+    job = Job(clean, duplicates, base, settings, now)
     with ThreadPoolExecutor(len(stages)) as pool:
         started = [
-            pool.submit(
-                inheritable_thread_target(spark)(STAGES[name]), clean, base, settings, now
-            )
-            for name in stages
+            pool.submit(inheritable_thread_target(spark)(STAGES[name]), job) for name in stages
         ]
         for stage in started:
             summary = summary.withColumns(stage.result())

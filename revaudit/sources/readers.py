@@ -48,10 +48,27 @@ def read_reviews_csv(
     return raw.select(*[_typed(name, types.get(name, T.StringType())) for name in raw.columns])
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def _complete(spark: SparkSession, path: str) -> bool:
+    """Whether the path holds a whole source: a file, or a folder whose writer has finished.
+
+    Spark's writers end with a ``_SUCCESS`` file, so a folder with part files but without it was
+    left by a job that was stopped.
+    """
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return files.exists(target)
+    if not files.exists(target):
+        return False
+    if files.getFileStatus(target).isFile():
+        return True
+    done = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target, "_SUCCESS")
+    return files.exists(done)
+
+
+def _local_path(spark: SparkSession) -> str:
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise ValueError("name a path all executors can reach; the default is a local folder")
+    return LOCAL_PATH
 
 
 def load_reviews(
@@ -59,14 +76,17 @@ def load_reviews(
 ) -> DataFrame:
     """Reviews from a named source.
 
-    ``local`` reads a CSV and, if there is none, first writes 5,000 synthetic reviews to it.
+    ``local`` reads a CSV and, if there is none or it is half-written, first writes 5,000
+    synthetic reviews to it. ``csv`` raises on a half-written folder.
     """
     if source == "local":
-        path = path or LOCAL_PATH
-        if not _exists(spark, path):
+        path = path or _local_path(spark)
+        if not _complete(spark, path):
             write_csv(generate_reviews(spark, **options), path)
         return read_reviews_csv(spark, path)
     if source == "csv":
+        if not any(sign in path for sign in "*?[{") and not _complete(spark, path):
+            raise ValueError(f"{path} is missing or was left half-written: it has no _SUCCESS")
         return read_reviews_csv(spark, path, **options)
     if source == "parquet":
         return spark.read.parquet(path)

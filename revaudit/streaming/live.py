@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from revaudit.operators import clean, features
-from revaudit.operators.scratch import new_path
 from revaudit.settings import Settings
 
 
@@ -38,9 +37,11 @@ def append_clean_rows(
 ) -> StreamingQuery:
     """Process what has arrived and append it to a Parquet table; call again for later input.
 
-    Pass the same ``progress_path`` each time so that a restart continues where it stopped.
+    What has been read is noted in ``progress_path``, by default a folder beside the table and
+    named after it. The table and its notes belong together: the sink skips batches that it has
+    already written, so new notes for an old table would lose rows.
     """
-    progress = progress_path or new_path(reviews.sparkSession, "stream-progress")
+    progress = progress_path or f"{out_path.rstrip('/')}-progress"
     return (
         clean_rows(reviews, settings)
         .writeStream.format("parquet")

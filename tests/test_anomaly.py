@@ -81,3 +81,59 @@ def test_alerts(spark):
     assert row["total_outliers"] == counts > 0
     quiet = spark.createDataFrame([("R1", "some text")], "review_id string, text string")
     assert anomaly.anomaly_alert(quiet).first()["alert"] == "✓ No critical anomalies detected"
+
+
+def ids(sample):
+    return list(sample)
+
+
+def test_report_names_the_rows(spark):
+    df = reviews(spark).withColumn("note", F.lit(None).cast("string"))
+    row = anomaly.anomaly_report(df).first()
+    found = {p["type"]: p for p in row["suspicious_patterns"]}
+    assert ids(found["very_short_reviews"]["sample"]) == ["R000", "R001"]
+    assert found["very_short_reviews"]["description"] == "Reviews with less than 10 characters"
+    assert ids(found["suspicious_vote_pattern"]["sample"]) == ["R003"]
+    assert ids(found["repeated_reviews_per_business"]["sample"]) == []
+    assert {m["column"]: m["missing_count"] for m in row["missing_patterns"]} == {"note": 200, "text_length": 1}
+    assert row["missing_patterns"][0]["sample"] == [f"R{i:03d}" for i in range(10)]
+    assert ids(row["duplicates"]["text_sample"]) == [f"R{i}" for i in range(150, 160)]
+    assert ids(row["duplicates"]["exact_sample"]) == []
+    quiet = anomaly.anomaly_report(df.filter("text_length = 40 AND rating = 5 AND text != 'same'").drop("note"))
+    assert quiet.first()["suspicious_patterns"] == [] == quiet.first()["missing_patterns"]
+
+
+def test_outlier_rows_are_named(spark):
+    rows = anomaly.outlier_rows(reviews(spark)).collect()
+    votes = [r for r in rows if "useful_votes.iqr" in r["found_by"]]
+    assert [r["review_id"] for r in votes] == ["R003"]
+    assert "useful_votes.zscore" in votes[0]["found_by"]
+    counts = anomaly.outlier_counts(reviews(spark)).agg(F.sum("outliers")).first()[0]
+    assert sum(len(r["found_by"]) for r in rows) == counts
+
+
+@pytest.mark.parametrize("absent", ["useful_votes", "text_length", "business_id", "rating", "text"])
+def test_patterns_without_a_column(spark, absent):
+    df = reviews(spark).drop(absent)
+    left = {r["type"] for r in anomaly.suspicious_summary(df).collect()}
+    gone = {
+        "useful_votes": "suspicious_vote_pattern", "rating": "suspicious_vote_pattern",
+        "text_length": "very_short_reviews", "business_id": "repeated_reviews_per_business",
+        "text": "repeated_reviews_per_business",
+    }
+    assert left == set(gone.values()) - {gone[absent]}
+    assert anomaly.suspicious_short(df).count() == (0 if absent == "text_length" else 2)
+    assert anomaly.suspicious_votes(df).count() == (0 if absent in ("useful_votes", "rating") else 1)
+
+
+def test_nothing_to_look_at(spark):
+    df = spark.createDataFrame([("R1",)], "review_id string")
+    assert anomaly.suspicious_summary(df).count() == 0
+    assert anomaly.outlier_counts(df).count() == 0
+    assert anomaly.outlier_rows(df).count() == 0
+
+
+def test_first_ids_over_many_partitions(spark):
+    df = spark.range(1000).selectExpr("lpad(id, 4, '0') AS review_id", "id AS text_length").repartition(16)
+    rows = anomaly.suspicious_short(df).collect()
+    assert [(r["matches"], r["review_id"]) for r in rows] == [(10, f"{i:04d}") for i in range(10)]

@@ -141,3 +141,10 @@ def test_empty_table(spark):
     assert bias.rating_distribution(df).count() == 0
     assert bias.length_bias(df).count() == 4
     assert "- Mean Rating: N/A" in bias_report(df)
+
+
+def test_absent_columns_have_no_rows(spark):
+    df = spark.createDataFrame([("R1", 4.0)], "review_id string, rating double")
+    assert bias.category_bias(df, "business_category").count() == 0
+    assert bias.length_bias(df).count() == 0
+    assert bias.monthly_trend(df).count() == 0

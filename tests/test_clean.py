@@ -87,3 +87,17 @@ def test_tiny_tables(spark, rows):
     df = spark.createDataFrame(rows, "review_id string, text string, rating long, date date")
     assert clean.preprocess(df).count() == len(rows)
     assert clean.preprocess(df, Settings(rich_columns=True)).filter(F.lit(True)).count() == len(rows)
+
+
+@pytest.mark.parametrize("limit", [0, 100])
+def test_duplicate_ids_with_a_hot_id(spark, limit):
+    """Broadcast or not, a third of all rows under one id leaves one of them."""
+    rows = spark.range(900).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 50 = 1 THEN NULL ELSE concat('R', id) END AS review_id",
+        "concat('t', 1000 - id) AS text", "id AS votes",
+    )
+    kept = clean.drop_duplicate_ids(rows.unionByName(rows), limit).collect()
+    expected = {r["review_id"] for r in rows.collect()}
+    assert len(kept) == len(expected) and {r["review_id"] for r in kept} == expected
+    texts = [r["text"] for r in rows.collect() if r["review_id"] == "hot"]
+    assert [r["text"] for r in kept if r["review_id"] == "hot"] == [min(texts)]

@@ -6,7 +6,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from revaudit.operators.quantiles import quantiles
+from revaudit.operators.quantiles import quantiles, wanted_values
 
 PROBS = [0.0, 0.25, 0.5, 0.75, 0.95, 1.0]
 
@@ -42,3 +42,11 @@ def test_several_columns_nulls_and_nan(spark):
 def test_small_published_case(spark):
     df = spark.createDataFrame([(v,) for v in (0, 1, 2, 3, 10, 50, 7)], "v long")
     assert quantiles(df, {"v": [0.25, 0.75]}).first()["v"] == [1.5, 8.5]
+
+
+def test_no_window_holds_many_distinct_values(spark):
+    """Of 200,000 distinct values, a few are put in order for each quantile."""
+    df = spark.range(200_000).selectExpr("CAST(id AS DOUBLE) * 1.5 AS v").repartition(8)
+    sizes = wanted_values(df, {"v": [0.25, 0.5, 0.95]}).groupBy("name", "slot", "outer", "bucket").count()
+    assert max(r["count"] for r in sizes.collect()) <= 50
+    assert quantiles(df, {"v": [0.5]}).first()["v"] == [149_999.25]

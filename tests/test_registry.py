@@ -6,9 +6,11 @@ import pytest
 
 import __spark_entry__ as entry_points
 from compare import connect, differences
+from revaudit.catalog import oracles
+from revaudit.catalog import queries as registered
 
-QUERIES = entry_points.queries()
-ORACLES = entry_points.oracle_sql()
+QUERIES = registered.queries()
+ORACLES = oracles.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -18,6 +20,8 @@ def db(sf_dir):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry_points.queries())
+    assert set(ORACLES) <= set(entry_points.oracle_sql()) <= set(entry_points.queries())
 
 
 def test_entry(spark):

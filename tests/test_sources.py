@@ -55,6 +55,23 @@ def test_local_source_generates_once(spark, tmp_path):
     assert again.count() == 5000
 
 
+def test_half_written_folders_are_not_read(spark, tmp_path):
+    path = tmp_path / "raw"
+    write_csv(load_reviews(spark, "synthetic", n=50).repartition(4), str(path))
+    (path / "_SUCCESS").unlink()
+    next(path.glob("part-*")).unlink()
+    with pytest.raises(ValueError, match="half-written"):
+        load_reviews(spark, "csv", str(path))
+    assert load_reviews(spark, "local", str(path), n=60).count() == 60
+    assert load_reviews(spark, "csv", str(path)).count() == 60
+    with pytest.raises(ValueError, match="missing"):
+        load_reviews(spark, "csv", str(tmp_path / "absent"))
+    single = tmp_path / "one.csv"
+    single.write_text("review_id,text\nR1,fine\n")
+    assert load_reviews(spark, "csv", str(single)).count() == 1
+    assert load_reviews(spark, "local", str(single)).count() == 1
+
+
 def test_other_sources(spark, tmp_path):
     df = load_reviews(spark, "synthetic", n=20)
     df.write.parquet(str(tmp_path / "p"))

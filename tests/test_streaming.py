@@ -17,3 +17,18 @@ def test_stream_equals_batch_and_continues(spark, tmp_path):
     expected = clean_rows(spark.read.parquet(source))
     assert found.columns == expected.columns and found.count() == 396 + 297
     assert found.exceptAll(expected).count() == 0
+
+
+def test_default_progress_loses_and_repeats_nothing(spark, tmp_path):
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    first, second = generate_reviews(spark, 100), generate_reviews(spark, 300, seed=9)
+    first.write.parquet(source)
+    live = spark.readStream.schema(first.schema).parquet(source)
+    append_clean_rows(live, out).awaitTermination()
+    second.write.mode("append").parquet(source)
+    for _ in range(2):  # the second time there is nothing new
+        append_clean_rows(live, out).awaitTermination()
+        expected = clean_rows(spark.read.parquet(source))
+        found = spark.read.parquet(out)
+        assert found.count() == expected.count() > 390
+        assert found.exceptAll(expected).count() == 0
