@@ -20,6 +20,12 @@ SKETCH_SIZE = 128
 
 #: Documents whose ids share all but these lowest bits are ordered together: at most 128.
 _GROUP_BITS = 7
+_SIGN = -(1 << 63)
+
+
+def _group(doc_id: Column) -> Column:
+    """The leading bits of an id, as a number from 0 that rises with the id."""
+    return F.shiftrightunsigned(doc_id.bitwiseXOR(F.lit(_SIGN)), _GROUP_BITS)
 
 
 def shingle_hashes(text: Column, words: int = SHINGLE_WORDS) -> Column:
@@ -28,17 +34,15 @@ def shingle_hashes(text: Column, words: int = SHINGLE_WORDS) -> Column:
     A null, empty or blank text has none. Words are hashed once; a shingle's hash is that of its words'.
     """
     hashed = F.transform(words_of(text), lambda w: F.xxhash64(w))
-    return F.transform(
-        F.array(hashed),  # names the array, so that it is computed once a row
-        lambda h: F.when(F.size(h) == 0, F.array().cast("array<long>"))
-        .when(F.size(h) < words, F.array(F.xxhash64(h)))
-        .otherwise(
-            F.transform(
-                F.sequence(F.lit(1), F.size(h) - (words - 1)),
-                lambda i: F.xxhash64(*[F.get(h, i + (j - 1)) for j in range(words)]),
-            )
-        ),
-    )[0]
+
+
+    def of(h: Column) -> Column:
+        every = F.sequence(F.lit(0), F.size(h) - words)
+        whole = F.transform(every, lambda i: F.xxhash64(*[F.get(h, i + j) for j in range(words)]))
+        none = F.array().cast("array<long>")
+        return F.when(F.size(h) == 0, none).when(F.size(h) < words, F.array(F.xxhash64(h))).otherwise(whole)
+
+    return _let(hashed, of)
 
 
 def sketch(text: Column, size: int = SKETCH_SIZE, words: int = SHINGLE_WORDS) -> Column:
@@ -64,16 +68,23 @@ def merge_all(parts: DataFrame, keys: list[str], column: str = "sketch", size: i
     return kept.groupBy(*keys).agg(F.sort_array(F.collect_list("_hash")).alias(column))
 
 
+def _let(value: Column, use) -> Column:
+    """An expression of a value that is computed once a row, also where `use` names it in a lambda."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _resemblance(union: Column, both: Column) -> Column:
+    common = _let(F.element_at(union, -1), lambda most: F.size(F.filter(both, lambda x: x <= most)))
+    return F.when(F.size(union) == 0, F.lit(1.0)).otherwise(common / F.size(union))
+
+
 def resemblance(a: Column, b: Column, size: int = SKETCH_SIZE) -> Column:
     """Estimated Jaccard similarity of the shingle sets: the share of both in the union's sketch.
 
     Exact while the union has at most `size` shingles. Two empty sets are equal: 1.
     """
-    union = merge(a, b, size)
-    both = F.array_intersect(a, b)
-    most = F.element_at(union, -1)
-    common = F.size(F.filter(both, lambda x: x <= most))
-    return F.when(F.size(union) == 0, F.lit(1.0)).otherwise(common / F.size(union))
+    pair = F.struct(merge(a, b, size).alias("union"), F.array_intersect(a, b).alias("both"))
+    return _let(pair, lambda p: _resemblance(p["union"], p["both"]))
 
 
 def distinct_shingles(s: Column, size: int = SKETCH_SIZE) -> Column:
@@ -85,10 +96,14 @@ def distinct_shingles(s: Column, size: int = SKETCH_SIZE) -> Column:
 
 def containment(a: Column, b: Column, size: int = SKETCH_SIZE) -> Column:
     """Estimated share of a's shingles that b has too, 0 to 1; 1 if a has none."""
-    j = resemblance(a, b, size)
-    union = distinct_shingles(merge(a, b, size), size)
     own = distinct_shingles(a, size)
-    return F.when(own == 0, F.lit(1.0)).otherwise(F.least(F.lit(1.0), j * union / F.greatest(own, F.lit(1.0))))
+    pair = F.struct(merge(a, b, size).alias("union"), F.array_intersect(a, b).alias("both"), own.alias("own"))
+
+    def share(p: Column) -> Column:
+        common = _resemblance(p["union"], p["both"]) * distinct_shingles(p["union"], size)
+        return F.when(p["own"] == 0, F.lit(1.0)).otherwise(F.least(F.lit(1.0), common / p["own"]))
+
+    return _let(pair, share)
 
 
 def as_text(s: Column) -> Column:
@@ -102,7 +117,7 @@ def _next_ids(ids: DataFrame, lowest: int, highest: int) -> DataFrame:
     Groups are ordered inside groups of 1024 groups, these inside theirs and so on, so that no task
     orders more than 1024 rows.
     """
-    shift = 10
+    shift, lowest, highest = 10, lowest - _SIGN, highest - _SIGN
     tops = settle(ids.groupBy("group").agg(F.min("doc_id").alias("first")), "sketch-groups")
     levels = [tops]
     while (lowest >> (_GROUP_BITS + shift)) != (highest >> (_GROUP_BITS + shift)):
@@ -131,14 +146,14 @@ def with_next(documents: DataFrame) -> DataFrame:
     base = documents.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")
     )
-    ids = base.where("doc_id is not null").select("doc_id", F.shiftright("doc_id", _GROUP_BITS).alias("group"))
+    ids = base.where("doc_id is not null").select("doc_id", _group(F.col("doc_id")).alias("group"))
     lowest, highest = ids.agg(F.min("doc_id"), F.max("doc_id")).first()
     nothing = base.where("doc_id is null").select("doc_id", "text", F.col("text").alias("next_text"), F.lit(True).alias("far"))
     if lowest is None:
         return nothing.withColumn("group", F.lit(None).cast("long"))
     after = _next_ids(ids, lowest, highest)
     grouped = (
-        base.where("doc_id is not null").withColumn("group", F.shiftright("doc_id", _GROUP_BITS)).repartition("group")
+        base.where("doc_id is not null").withColumn("group", _group(F.col("doc_id"))).repartition("group")
     )
     order = Window.partitionBy("group").orderBy("doc_id", "text")
     firsts = (
