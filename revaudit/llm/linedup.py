@@ -204,21 +204,24 @@ def removals(documents: DataFrame, run: int = RUN_WORDS, piece: int = PIECE_WORD
     plain = documents.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     prints = settle(plain.mapInArrow(_print_batches(run, piece), _PRINTS), "linedup-prints")
     long = prints.where(F.col("n_words") >= run)
-    groups = long.groupBy("digest", "check").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
+    groups = long.groupBy("digest", "check").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
+    groups = settle(groups.where("first < last").select("digest", "check", "first"), "linedup-groups")
     copies = settle(
         long.select("doc_id", "digest", "check").join(groups, ["digest", "check"]).where("doc_id > first").select("doc_id").distinct(),
         "linedup-copies",
     )
     own = long.join(copies, "doc_id", "left_anti")
     chosen = own.select("doc_id", F.explode("prints").alias("print"))
-    repeated = chosen.groupBy("print").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a < b").select("print")
+    repeated = chosen.groupBy("print").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a < b")
+    repeated = settle(repeated.select("print"), "linedup-repeated")  # stored, so that a join can split hot keys
     shared = chosen.join(repeated, "print").groupBy("doc_id").agg(F.collect_set("print").alias("shared"))
     listed = settle(
         plain.repartition("doc_id").join(shared, "doc_id").select("doc_id", "text", "shared").mapInArrow(_window_batches(run, piece), _WINDOWS),
         "linedup-windows",
     )
     firsts = listed.groupBy("window").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
-    later = listed.join(firsts.select("window", "first"), "window").where("doc_id > first").select("doc_id", "at")
+    firsts = settle(firsts.select("window", "first"), "linedup-firsts")
+    later = listed.join(firsts, "window").where("doc_id > first").select("doc_id", "at")
     inner = own.select("doc_id", F.explode("own").alias("at"))
     marks = later.unionByName(inner).groupBy("doc_id").agg(F.collect_set("at").alias("marks"))
     return marks.select("doc_id", F.lit(False).alias("copy"), "marks").unionByName(
