@@ -21,8 +21,9 @@ def steps(spark, sf_dir):
     docs, out = table(spark, sf_dir, "documents"), {}
     out["documents"] = docs.collect()
     for name, stage in corpus_pipeline.STAGES:
-        docs = spark.createDataFrame(stage(spark, docs, sf_dir).collect(), stage(spark, docs, sf_dir).schema)
-        out[name] = docs.collect()
+        made = stage(spark, docs, sf_dir)
+        out[name] = made.collect()
+        docs = spark.createDataFrame(out[name], made.schema)
     return out
 
 
