@@ -1,8 +1,8 @@
 """Mix sources to target weights: exact block quotas, dealt to output shards by a splitting tree.
 
 Each source's documents are put in random order by a hash of their id (their draw) and cut into
-blocks along it. A target is met by whole passes over the source and one partial pass, which ends
-at the last document that still fits. The block draws of all passes are a source's quota. A tree
+blocks along it. A target is met by whole passes over the source and one partial pass: documents in
+order up to the first that doesn't fit, then every later one that fits in what is still open. The block draws of all passes are a source's quota. A tree
 over the output shards splits the quotas: at each node the left half's share of every source is a
 multivariate hypergeometric draw, so shards hold exact counts and no block draw twice. Inside a
 shard, rows are ordered by another hash.
@@ -26,6 +26,8 @@ BROADCAST_SOURCES = 100_000
 STRATA = 4096
 DOCS_PER_BLOCK = 256
 SHARDS = 16
+#: Documents of a source that may still fit and are gone through as one list; more are cut down by cells first.
+FEW_LEFT = 10_000
 #: Words that one task of a shard puts in order; a larger shard is ordered in parts.
 WORDS_PER_PART = 4_000_000
 
@@ -124,6 +126,81 @@ def _cut_draws(sized: DataFrame, sources: DataFrame, bounded: bool) -> DataFrame
     ).select("source", F.coalesce("last", "below").alias("cut"))
 
 
+def _fill(sized: DataFrame, cuts: DataFrame, bounded: bool) -> tuple[DataFrame, DataFrame]:
+    """source, steps (how the partial pass goes on after its cut); and source, draw, size of ids that repeat.
+
+    `cuts` has source, rest and cut. A step takes the documents with after < draw <= upto and 1 to `open` words.
+    Steps follow each other along the draw, and a new one begins behind a document that doesn't fit, so
+    that together they take each document that still fits. Rows of one id count as one document.
+    """
+    groups = (
+        _join(sized, cuts.select("source", "cut"), bounded)
+        .where(F.col("draw") > F.col("cut"))
+        .groupBy("source", "draw")
+        .agg(F.sum("size").alias("size"), F.count("*").alias("rows"))
+    )
+    groups = settle(groups, "mixing-rest")
+    sum_taken = F.coalesce(F.sum(F.when(F.col("draw") <= F.col("cut"), F.col("size"))), F.lit(0).cast("long"))
+    steps = F.array().cast("array<struct<after:bigint,upto:bigint,open:double>>")
+    at = (
+        _join(sized, cuts, bounded)
+        .groupBy("source", "rest", "cut")
+        .agg(sum_taken.alias("used"))
+        .withColumn("steps", steps)
+    )
+    at = settle(at, "mixing-fill")
+    left = groups.select("source", "draw", "size")
+    still_open = F.col("rest") - F.col("used")
+    while True:
+        fits = (F.col("draw") > F.col("cut")) & F.col("size").between(1, still_open)
+        left = settle(_join(left, at.drop("steps"), bounded).where(fits).select("source", "draw", "size"), "mixing-left")
+        many = left.groupBy("source").agg(F.count("*").alias("n"), F.max("draw").alias("last"))
+        many = settle(_join(at, many.where(F.col("n") > FEW_LEFT), bounded), "mixing-many")
+        if not many.limit(1).count():
+            break
+        ends = _cut_draws(left, many.select("source", still_open.alias("rest")), bounded)
+        ends = ends.select(F.col("source").alias("_source"), F.col("cut").alias("end"))
+        ends = many.join(ends, F.col("source").eqNullSafe(F.col("_source")), "left").select(
+            "source", F.coalesce("end", "last").alias("upto")
+        )
+        ends = settle(ends, "mixing-ends")
+        gained = _join(left, ends, bounded).where(F.col("draw") <= F.col("upto")).groupBy("source", "upto")
+        gained = gained.agg(F.sum("size").alias("gained")).withColumnRenamed("source", "_source")
+        step = F.array(F.struct(F.col("cut").alias("after"), "upto", still_open.alias("open")))
+        moved = F.col("upto").isNotNull()
+        at = at.join(gained, F.col("source").eqNullSafe(F.col("_source")), "left").select(
+            "source", "rest", F.coalesce("upto", "cut").alias("cut"),
+            (F.col("used") + F.coalesce("gained", F.lit(0))).alias("used"),
+            F.when(moved, F.concat("steps", step)).otherwise(F.col("steps")).alias("steps"),
+        )
+        at = settle(at, "mixing-fill")
+
+    def go_on(state: Column, item: Column) -> Column:
+        last = F.element_at(state["steps"], -1)
+        begun = F.concat(
+            state["steps"],
+            F.array(F.struct(state["cut"].alias("after"), item["draw"].alias("upto"), (F.col("rest") - state["used"]).alias("open"))),
+        )
+        longer = F.concat(
+            F.slice(state["steps"], F.lit(1), F.size(state["steps"]) - 1),
+            F.array(F.struct(last["after"].alias("after"), item["draw"].alias("upto"), last["open"].alias("open"))),
+        )
+        fits = item["size"] <= F.col("rest") - state["used"]
+        return F.struct(
+            F.when(fits, state["used"] + item["size"]).otherwise(state["used"]).alias("used"),
+            F.when(fits, item["draw"]).otherwise(state["cut"]).alias("cut"),
+            (~fits).alias("skipped"),
+            F.when(~fits, state["steps"]).when(state["skipped"], begun).otherwise(longer).alias("steps"),
+        )
+
+    listed = left.groupBy("source").agg(F.array_sort(F.collect_list(F.struct("draw", "size"))).alias("items"))
+    start = F.struct("used", "cut", F.lit(True).alias("skipped"), "steps")
+    whole = F.aggregate("items", start, go_on, lambda state: state["steps"])
+    filled = at.join(listed.withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source")), "left")
+    filled = filled.select("source", F.when(F.col("items").isNull(), F.col("steps")).otherwise(whole).alias("steps"))
+    return settle(filled, "mixing-steps"), groups.where("rows > 1").select("source", "draw", "size")
+
+
 def block(draw_column: Column, blocks: Column) -> Column:
     share = draw_column.cast("double") / F.lit(float(1 << _DRAW_BITS))
     return F.least(F.floor(share * blocks).cast("long"), blocks - 1)
@@ -240,11 +317,17 @@ def split_quotas(quotas: DataFrame, shards: int, seed: int) -> DataFrame:
     return runs.groupBy(F.col("strata").alias("stratum")).agg(listed.alias("runs")).select("stratum", sums.alias("offsets"))
 
 
-def plan_mix(documents: DataFrame, shards: int = SHARDS, seed: int = 7) -> tuple[DataFrame, bool]:
-    """One row per source: source_size, target, passes, cut, blocks, base, offsets, parts; and whether it is small.
+def plan_mix(documents: DataFrame, shards: int = SHARDS, seed: int = 7, fill: bool = True) -> tuple[DataFrame, bool]:
+    """One row per source: source_size, target, passes, cut, steps, blocks, base, offsets, parts, partial; and whether it is small.
 
-    parts: the number of parts of each shard, so that one has WORDS_PER_PART words or less.
+    parts: the number of parts of each shard, so that one has WORDS_PER_PART words or less. partial: the blocks
+    of the partial pass; documents beyond its cut are dealt with these.
     """
+    plan, bounded, _ = _planned(documents, shards, seed, fill)
+    return plan, bounded
+
+
+def _planned(documents: DataFrame, shards: int, seed: int, fill: bool) -> tuple[DataFrame, bool, DataFrame | None]:
     sized = settle(
         documents.select("source", word_count(F.col("text")).alias("size"), draw(F.col("doc_id"), seed).alias("draw")),
         "mixing-sizes",
@@ -260,42 +343,60 @@ def plan_mix(documents: DataFrame, shards: int = SHARDS, seed: int = 7) -> tuple
     bounded = sources.count() <= BROADCAST_SOURCES
     cuts = _cut_draws(sized, sources, bounded).withColumnRenamed("source", "_source")
     by_name = Window.orderBy(F.col("source").asc_nulls_last())
-    partial = F.when(F.col("cut") >= 0, block(F.col("cut"), F.col("blocks")) + 1).otherwise(0)
+    cuts = sources.join(cuts, F.col("source").eqNullSafe(F.col("_source")), "left").drop("_source")
+    cuts = settle(cuts.withColumn("cut", F.coalesce("cut", F.lit(-1).cast("long"))), "mixing-cuts")
+    repeats = None
+    if fill:
+        steps, repeats = _fill(sized, cuts.select("source", "rest", "cut"), bounded)
+        cuts = _join(cuts, steps, bounded)
+    else:
+        cuts = cuts.withColumn("steps", F.array().cast("array<struct<after:bigint,upto:bigint,open:double>>"))
+    partial = F.when(F.col("cut") >= 0, block(F.col("cut"), F.col("blocks")) + 1).otherwise(F.least(F.size("steps"), F.lit(1)))
     quotas = settle(
-        sources.join(cuts, F.col("source").eqNullSafe(F.col("_source")), "left")
-        .withColumn("cut", F.coalesce("cut", F.lit(-1).cast("long")))
-        .withColumn("quota", (F.col("passes") * F.col("blocks") + partial).cast("long"))
+        cuts.withColumn("partial", partial.cast("long"))
+        .withColumn("quota", F.col("passes") * F.col("blocks") + F.col("partial"))
         .withColumn("stratum", F.pmod(F.row_number().over(by_name) - 1, F.lit(STRATA)))
-        .withColumn("base", F.sum("quota").over(Window.partitionBy("stratum").orderBy(F.col("source").asc_nulls_last())) - F.col("quota"))
-        .drop("_source"),
+        .withColumn("base", F.sum("quota").over(Window.partitionBy("stratum").orderBy(F.col("source").asc_nulls_last())) - F.col("quota")),
         "mixing-quotas",
     )
     offsets = split_quotas(quotas.groupBy("stratum").agg(F.sum("quota").alias("quota")), shards, seed)
     words = F.sum("source_size").over(Window.partitionBy())
     parts = F.greatest(F.ceil(words / (shards * WORDS_PER_PART)), F.lit(1)).cast("int")
     plan = quotas.join(offsets, "stratum").select(
-        "source", "source_size", "target", "passes", "cut", "blocks", "base", "offsets", parts.alias("parts")
+        "source", "source_size", "target", "passes", "cut", "steps", "blocks", "base", "offsets", parts.alias("parts"), "partial"
     )
-    return settle(plan, "mixing-plan"), bounded
+    return settle(plan, "mixing-plan"), bounded, repeats
 
 
-def mix(documents: DataFrame, shards: int = SHARDS, seed: int = 7) -> DataFrame:
+def mix(documents: DataFrame, shards: int = SHARDS, seed: int = 7, fill: bool = True) -> DataFrame:
     """The documents with source_size, target and places: one (pass, shard, part, rank) for each copy taken.
     A shard's order is that of part and rank, which is random.
 
     `documents` needs doc_id, text and source; other columns stay unless they have one of the new
     names, which replace them. A null or blank text has size 0; a null source is a source of its own;
-    documents with one id are taken alike. An empty table gives an empty one.
+    documents with one id are taken alike. An empty table gives an empty one. Without `fill` the partial pass
+    ends at the first document that doesn't fit.
     """
-    plan, bounded = plan_mix(documents, shards, seed)
+    plan, bounded, repeats = _planned(documents, shards, seed, fill)
     plan = plan.select("source", F.struct(*[c for c in plan.columns if c != "source"]).alias("_plan"))
-    ours = [c for c in documents.columns if c.lower() not in ("source_size", "target", "places", "_plan", "_draw", "_source")]
+    ours = [c for c in documents.columns if c.lower() not in ("source_size", "target", "places", "_plan", "_draw", "_source", "_twin", "_size")]
     d, p = F.col("_draw"), F.col("_plan")
-    copies = p["passes"] + F.when(d <= p["cut"], 1).otherwise(0)
+    drawn = documents.select(*ours).withColumn("_draw", draw(F.col("doc_id"), seed))
+    more = F.lit(False)
+    if repeats is not None:
+        # rows of a repeated id are taken alike, by the words of all
+        repeats = repeats.select(F.col("source").alias("_source"), F.col("draw").alias("_twin"), F.col("size").alias("_size"))
+        same = F.col("source").eqNullSafe(F.col("_source")) & (d == F.col("_twin"))
+        drawn = drawn.join(repeats, same, "left").drop("_source", "_twin")
+        size = F.coalesce(F.col("_size"), word_count(F.col("text")))
+        taking = F.filter(p["steps"], lambda x: (d > x["after"]) & (d <= x["upto"]))
+        more = F.exists(taking, lambda x: size.between(1, x["open"]))
+    copies = p["passes"] + F.when((d <= p["cut"]) | more, 1).otherwise(0)
     at = block(d, p["blocks"])
 
     def place(i: Column) -> Column:
-        index = p["base"] + i * p["blocks"] + at
+        # what is taken beyond the cut is dealt with the blocks before it
+        index = p["base"] + i * p["blocks"] + F.when(i < p["passes"], at).otherwise(F.pmod(at, p["partial"]))
         shard = F.size(F.filter(p["offsets"], lambda o: o <= index)) - 1
         rank = F.xxhash64(F.lit(seed + 1), i, d)
         part = F.pmod(F.shiftright(rank, 20), p["parts"]).cast("int")
@@ -304,7 +405,7 @@ def mix(documents: DataFrame, shards: int = SHARDS, seed: int = 7) -> DataFrame:
     none = F.array().cast("array<struct<pass:int,shard:int,part:int,rank:bigint>>")
     places = F.when(copies > 0, F.transform(F.sequence(F.lit(0).cast("long"), copies - 1), place)).otherwise(none)
     return (
-        _join(documents.select(*ours).withColumn("_draw", draw(F.col("doc_id"), seed)), plan, bounded)
+        _join(drawn, plan, bounded)
         .withColumn("places", places)
         .select(*ours, p["source_size"].alias("source_size"), p["target"].alias("target"), "places")
     )

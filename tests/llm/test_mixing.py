@@ -58,6 +58,43 @@ def test_taken_words_come_near_targets_and_reruns_agree(spark):
         assert target - 41 <= words_taken <= target
 
 
+@pytest.mark.parametrize("few, broadcast", [(10_000, 100_000), (20, 1)])
+def test_partial_pass_takes_all_that_still_fits(spark, monkeypatch, few, broadcast):
+    monkeypatch.setattr(mixing, "FEW_LEFT", few)
+    monkeypatch.setattr(mixing, "BROADCAST_SOURCES", broadcast)
+    sizes = {"a": [900, 700] + [1 + i % 60 for i in range(80)], "b": [400] * 5 + [7] * 60, None: [300, 0, 0, 9, 8, 200, 5], "c": [5000]}
+    docs = sources(spark, sizes)
+    docs = docs.union(docs.where("doc_id % 9 = 0").withColumn("text", F.lit("one two")))  # ids that repeat, with other texts
+    rows = mixing.mix(docs.withColumn("draw", mixing.draw(F.col("doc_id"), 7))).collect()
+    groups = defaultdict(list)
+    for r in rows:
+        groups[r["source"], r["draw"]].append(r)
+    left = {r["source"]: r["target"] % r["source_size"] for r in rows}
+    first = {s: True for s in left}
+    for source, at in sorted(groups, key=lambda k: k[1]):
+        own = groups[source, at]
+        n = sum(len(words(r["text"])) for r in own)
+        first[source] = first[source] and n <= left[source]
+        fits = n <= left[source] and (n > 0 or first[source])
+        left[source] -= n * fits
+        copies = int(own[0]["target"] // own[0]["source_size"]) + fits
+        assert [len(r["places"]) for r in own] == [copies] * len(own)
+    shards = {p["shard"] for r in rows for p in r["places"]}
+    assert shards <= set(range(16))
+
+
+def test_fill_comes_near_targets(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "source")
+
+    def shares(**how):
+        size = mixing.word_count(F.col("text")) * F.size("places")
+        rows = mixing.mix(docs, **how).groupBy("source", "target").agg(F.sum(size).alias("n")).collect()
+        return [r["n"] / r["target"] for r in rows]
+
+    cut, filled = shares(fill=False), shares()
+    assert max(filled) <= 1 and min(filled) > 0.9 > min(cut) and sum(filled) > sum(cut)
+
+
 def test_shards_hold_exact_quotas_and_disjoint_blocks(spark, monkeypatch):
     monkeypatch.setattr(mixing, "DOCS_PER_BLOCK", 4)
     docs = sources(spark, {"a": [5] * 400, "b": [3] * 200, "c": [2] * 300})
