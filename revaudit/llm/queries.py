@@ -8,8 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revaudit.llm import bpe, licenses, linedup, merging, mixing, neardup, quality, rules, sketches, toxicity
+from revaudit.llm import (
+    alignment, bpe, licenses, linedup, merging, mixing, neardup, prefixtrie, quality, rules, sketches, tokenfiles, toxicity,
+)
 from revaudit.llm.common import table
+from revaudit.operators.scratch import new_path
+
+#: The id behind each document in the token files.
+END_ID = 2
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,6 +69,22 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(licenses.document_files(table(spark, sf_dir, "documents")), corpus_weights=True)
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = [public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    return alignment.digests(table(spark, sf_dir, "documents"), *paths)
+
+
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    path = new_path(spark, "token-files")
+    tokenfiles.write(tokenfiles.encode_documents(documents, public_tokenizers.path("word_bpe_49k.json"), END_ID), path)
+    return tokenfiles.checksums(tokenfiles.read(spark, path))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixtrie.trie(table(spark, sf_dir, "conversations"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -75,7 +97,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         for f in (
             op1_line_dedup, op2_quality_rules, op3_minhash_near_dedup, op4_document_fingerprints,
             op5_token_counts, op6_bpe_round_trip, op7_source_mixing, op8_quality_classifier,
-            op9_toxicity, op10_license_scan, pipeline,
+            op9_toxicity, op10_license_scan, op11_token_alignment, op12_token_files, op13_prefix_trie, pipeline,
         )
     }
 
@@ -240,10 +262,60 @@ LEFT JOIN nearest n ON f.folder = n.folder
 """
 
 
+_OP13 = """
+WITH t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL
+), convs AS (
+  SELECT conv_id, n, base, head, least(head, coalesce(b.base_n, 0)) AS taken FROM (
+    SELECT conv_id, count(*) AS n, conv_id - conv_id % 100 AS base,
+      xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(conv_id AS VARCHAR), ''),
+            lambda c: CAST(ascii(c) AS BIGINT))),
+          lambda s, c: list_reduce(list_prepend(xor(s, c), CAST([0, 0, 0, 0, 0, 0, 0, 0] AS BIGINT[])),
+            lambda v, z: xor(v >> 1, (v & 1) * 3988292384))), 4294967295) % 6 AS head
+    FROM t GROUP BY conv_id
+  ) LEFT JOIN (SELECT conv_id AS base, count(*) AS base_n FROM t GROUP BY conv_id) b USING (base)
+), rebuilt AS (
+  SELECT c.conv_id, t.pos, t.role, t.text FROM convs c JOIN t ON t.conv_id = c.base AND t.pos <= c.taken
+  UNION ALL
+  SELECT c.conv_id, t.pos - c.head + c.taken, t.role, t.text FROM convs c JOIN t USING (conv_id) WHERE t.pos > c.head
+), turns AS (
+  SELECT conv_id, pos, length(text) AS chars, md5(length(role) || ':' || role || text) AS turn FROM rebuilt
+), seqs AS (
+  SELECT conv_id, coalesce(s, []) AS s FROM convs
+  LEFT JOIN (SELECT conv_id, list(turn ORDER BY pos) AS s FROM turns GROUP BY conv_id) USING (conv_id)
+), paths AS (
+  SELECT conv_id, depth, md5(array_to_string(s[1:depth], ',')) AS prefix, depth = len(s) AS ends
+  FROM (SELECT conv_id, s, unnest(range(0, len(s) + 1)) AS depth FROM seqs)
+), nodes AS (
+  SELECT depth, prefix, min(conv_id) AS conv_id, count(*) AS n_convs,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+  FROM paths GROUP BY depth, prefix
+), linked AS (
+  SELECT n.*, up.prefix AS above, pn.conv_id AS parent_conv_id, coalesce((n.n_convs - 1) * turns.chars, 0) AS own
+  FROM nodes n LEFT JOIN paths up ON up.conv_id = n.conv_id AND up.depth = n.depth - 1
+  LEFT JOIN nodes pn ON pn.depth = n.depth - 1 AND pn.prefix = up.prefix
+  LEFT JOIN turns ON turns.conv_id = n.conv_id AND turns.pos = n.depth
+), counted AS (
+  SELECT l.*, coalesce(c.k, 0) AS n_children FROM linked l
+  LEFT JOIN (SELECT depth - 1 AS depth, above AS prefix, count(*) AS k FROM linked GROUP BY ALL) c USING (depth, prefix)
+), sums AS (
+  SELECT p.depth, p.prefix, sum(CASE WHEN c.n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum(c.own) AS saved_tokens
+  FROM counted c JOIN paths p ON p.conv_id = c.conv_id AND p.depth <= c.depth GROUP BY p.depth, p.prefix
+)
+SELECT conv_id, CAST(depth AS BIGINT) AS depth, parent_conv_id, CAST(n_convs AS BIGINT) AS n_convs,
+  CAST(n_children AS BIGINT) AS n_children, CAST(n_leaves AS BIGINT) AS n_leaves,
+  CAST(saved_tokens AS BIGINT) AS saved_tokens, ends_sha256
+FROM counted JOIN sums USING (depth, prefix)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_line_dedup": _OP1,
         "op3_minhash_near_dedup": _OP3,
         "op7_source_mixing": _OP7,
         "op10_license_scan": _license_sql(),
+        "op13_prefix_trie": _OP13,
     }
