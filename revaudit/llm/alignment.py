@@ -125,10 +125,11 @@ def _spelled(groups: np.ndarray, ids: np.ndarray, of_b: np.ndarray, doc: np.ndar
     last_of_doc = np.ones(len(ids), bool)
     last_of_doc[:-1] = doc[1:] != doc[:-1]
     sign = np.where(last_of_doc, 3, np.where(last_of_run, np.where(of_b, 2, 1), 0))
-    numbers = pc.cast(pa.array(ids), pa.large_string())
-    parts = pc.binary_join_element_wise(numbers, pa.array([",", "|", ";", ""], pa.large_string()).take(pa.array(sign)), "")
+    none = pa.scalar("", pa.large_string())
+    signs = pa.array([",", "|", ";", ""], pa.large_string()).take(pa.array(sign))
+    parts = pc.binary_join_element_wise(pc.cast(pa.array(ids), pa.large_string()), signs, none)
     offsets = np.concatenate([[0], np.flatnonzero(last_of_doc) + 1])
-    return pc.binary_join(pa.LargeListArray.from_arrays(pa.array(offsets), parts), "")
+    return pc.binary_join(pa.LargeListArray.from_arrays(pa.array(offsets), parts), none)
 
 
 def align(column: pa.Array, a: ByteLevel, b: Pieces) -> list[pa.Array]:

@@ -3,7 +3,7 @@
 A folder of token files holds one row per document, in ascending doc_id order over files and within them:
 
 - `tokens/`: doc_id, part, start_in_part, end_in_part, ids. One file per part. The ids are dictionary or delta
-  encoded; the other columns, which ascend or are small, are delta encoded. Row groups and pages are
+  encoded (the writer leaves a dictionary that saves nothing); the other columns, which ascend or are small, are delta encoded. Row groups and pages are
   bounded, and every page has its lowest and highest value in the page index, so that a read of a few
   documents or of a span of tokens skips the other pages of all columns, and a read of sizes never
   touches the ids.
@@ -38,7 +38,7 @@ class Layout:
 
     tokens_per_part: int = 16_000_000
     row_group_bytes: int = 16 << 20
-    page_bytes: int = 64 << 10
+    page_bytes: int = 128 << 10
     page_rows: int = 1000
     encoding: str = "dictionary"
 

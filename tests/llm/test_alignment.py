@@ -39,13 +39,15 @@ def brute(texts: list[str | None]) -> list[tuple]:
             rows.append(([], [], []))
             continue
         ends = [list(np.cumsum([len(x) for x in s])) for s in spans]
-        cuts = sorted(set(ends[0]) & set(ends[1]))
-        links = [(a[ends[0].index(c)], b[ends[1].index(c)]) for c in cuts]
-        written, low = [], 0
+        at = [{e: i for i, e in enumerate(own)} for own in ends]
+        cuts = sorted(at[0].keys() & at[1].keys())
+        links = [(a[at[0][c]], b[at[1][c]]) for c in cuts]
+        written, low = [], (-1, -1)
         for c in cuts:
-            sides = [[str(i) for i, e in zip(ids, own, strict=True) if low < e <= c] for ids, own in zip((a, b), ends, strict=True)]
-            written.append("|".join(",".join(s) for s in sides))
-            low = c
+            high = (at[0][c], at[1][c])
+            sides = [ids[i + 1 : j + 1] for ids, i, j in zip((a, b), low, high, strict=True)]
+            written.append("|".join(",".join(map(str, s)) for s in sides))
+            low = high
         rows.append((a, b, links, ";".join(written)))
     counts = Counter(link for r in rows for link in r[2])
     best: dict[int, int] = {}

@@ -10,7 +10,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from helpers import documents, odd_documents
+from helpers import odd_documents
 from revaudit.llm import queries, tokenfiles
 from revaudit.llm.tokenfiles import Layout
 
@@ -18,15 +18,15 @@ SCHEMA = "doc_id long, ids array<int>"
 SMALL = Layout(tokens_per_part=3000, row_group_bytes=4096, page_bytes=512, page_rows=20)
 
 
-def made(spark, count: int, seed: int = 2):
+def made(spark, count: int, seed: int = 2, most: int = 49_408):
     rng = random.Random(seed)
-    rows = [(i * 3, [rng.randrange(49_408) for _ in range(rng.randint(0, 60))]) for i in range(count)]
+    rows = [(i * 3, [rng.randrange(most) for _ in range(rng.randint(0, 60))]) for i in range(count)]
     return rows, spark.createDataFrame(rng.sample(rows, count), SCHEMA).repartition(4)
 
 
 @pytest.mark.parametrize("encoding", tokenfiles.ENCODINGS)
 def test_round_trip_in_order_of_id(spark, tmp_path, encoding):
-    rows, table = made(spark, 500)
+    rows, table = made(spark, 500, most=90)
     path = str(tmp_path / "tokens")
     tokenfiles.write(table, path, Layout(tokens_per_part=3000, row_group_bytes=4096, page_bytes=512, page_rows=20, encoding=encoding))
     back = tokenfiles.read(spark, path).orderBy("doc_id").collect()
@@ -45,7 +45,7 @@ def test_round_trip_in_order_of_id(spark, tmp_path, encoding):
         assert "DELTA_BINARY_PACKED" in columns["doc_id"].encodings
         ids = columns["ids.list.element"].encodings
         assert ("RLE_DICTIONARY" in ids) == (encoding == "dictionary")
-        assert ("DELTA_BINARY_PACKED" in ids) == (encoding == "delta") or encoding == "dictionary"
+        assert ("DELTA_BINARY_PACKED" in ids) == (encoding == "delta")
 
 
 def test_selective_reads(spark, tmp_path):
@@ -121,4 +121,3 @@ def test_odd_rows(spark, tmp_path):
     assert sorted(map(key, map(tuple, found))) == sorted(map(key, expected))
     starts = sorted((r["start"], r["n_tokens"]) for r in found)
     assert all(a + n == b for (a, n), (b, _) in zip(starts, starts[1:], strict=False))
-    assert documents(spark, {}).count() == 0
