@@ -52,11 +52,24 @@ def draw(doc_id: Column, seed: int) -> Column:
     return F.conv(F.substring(digest, 1, _DRAW_BITS // 4), 16, 10).cast("long")
 
 
+def free_names(taken: list[str], *names: str) -> list[str]:
+    """The names, each with as many underscores in front as it takes to be none of the given ones."""
+    held = {c.lower() for c in taken}
+    out = []
+    for name in names:
+        name = "_" + name
+        while name in held:
+            name = "_" + name
+        out.append(name)
+    return out
+
+
 def _join(left: DataFrame, sources: DataFrame, bounded: bool) -> DataFrame:
     """Join the table of sources on `source`, null matching null."""
-    right = sources.withColumnRenamed("source", "_source")
+    (name,) = free_names([*left.columns, *sources.columns], "source")
+    right = sources.withColumnRenamed("source", name)
     right = F.broadcast(right) if bounded else right
-    return left.join(right, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
+    return left.join(right, F.col("source").eqNullSafe(F.col(name))).drop(name)
 
 
 def source_targets(sized: DataFrame) -> DataFrame:
@@ -317,17 +330,17 @@ def split_quotas(quotas: DataFrame, shards: int, seed: int) -> DataFrame:
     return runs.groupBy(F.col("strata").alias("stratum")).agg(listed.alias("runs")).select("stratum", sums.alias("offsets"))
 
 
-def plan_mix(documents: DataFrame, shards: int = SHARDS, seed: int = 7, fill: bool = True) -> tuple[DataFrame, bool]:
+def plan_mix(documents: DataFrame, shards: int = SHARDS, seed: int = 7) -> tuple[DataFrame, bool]:
     """One row per source: source_size, target, passes, cut, steps, blocks, base, offsets, parts, partial; and whether it is small.
 
     parts: the number of parts of each shard, so that one has WORDS_PER_PART words or less. partial: the blocks
     of the partial pass; documents beyond its cut are dealt with these.
     """
-    plan, bounded, _ = _planned(documents, shards, seed, fill)
+    plan, bounded, _ = _planned(documents, shards, seed)
     return plan, bounded
 
 
-def _planned(documents: DataFrame, shards: int, seed: int, fill: bool) -> tuple[DataFrame, bool, DataFrame | None]:
+def _planned(documents: DataFrame, shards: int, seed: int) -> tuple[DataFrame, bool, DataFrame]:
     sized = settle(
         documents.select("source", word_count(F.col("text")).alias("size"), draw(F.col("doc_id"), seed).alias("draw")),
         "mixing-sizes",
@@ -345,12 +358,8 @@ def _planned(documents: DataFrame, shards: int, seed: int, fill: bool) -> tuple[
     by_name = Window.orderBy(F.col("source").asc_nulls_last())
     cuts = sources.join(cuts, F.col("source").eqNullSafe(F.col("_source")), "left").drop("_source")
     cuts = settle(cuts.withColumn("cut", F.coalesce("cut", F.lit(-1).cast("long"))), "mixing-cuts")
-    repeats = None
-    if fill:
-        steps, repeats = _fill(sized, cuts.select("source", "rest", "cut"), bounded)
-        cuts = _join(cuts, steps, bounded)
-    else:
-        cuts = cuts.withColumn("steps", F.array().cast("array<struct<after:bigint,upto:bigint,open:double>>"))
+    steps, repeats = _fill(sized, cuts.select("source", "rest", "cut"), bounded)
+    cuts = _join(cuts, steps, bounded)
     partial = F.when(F.col("cut") >= 0, block(F.col("cut"), F.col("blocks")) + 1).otherwise(F.least(F.size("steps"), F.lit(1)))
     quotas = settle(
         cuts.withColumn("partial", partial.cast("long"))
@@ -368,30 +377,28 @@ def _planned(documents: DataFrame, shards: int, seed: int, fill: bool) -> tuple[
     return settle(plan, "mixing-plan"), bounded, repeats
 
 
-def mix(documents: DataFrame, shards: int = SHARDS, seed: int = 7, fill: bool = True) -> DataFrame:
+def mix(documents: DataFrame, shards: int = SHARDS, seed: int = 7) -> DataFrame:
     """The documents with source_size, target and places: one (pass, shard, part, rank) for each copy taken.
     A shard's order is that of part and rank, which is random.
 
-    `documents` needs doc_id, text and source; other columns stay unless they have one of the new
-    names, which replace them. A null or blank text has size 0; a null source is a source of its own;
-    documents with one id are taken alike. An empty table gives an empty one. Without `fill` the partial pass
-    ends at the first document that doesn't fit.
+    `documents` needs doc_id, text and source; other columns stay unless they have one of the three new
+    names, which replace them. A null or blank text has size 0 and is in whole passes only; a null source is a
+    source of its own; documents with one id are taken alike. An empty table gives an empty one.
     """
-    plan, bounded, repeats = _planned(documents, shards, seed, fill)
-    plan = plan.select("source", F.struct(*[c for c in plan.columns if c != "source"]).alias("_plan"))
-    ours = [c for c in documents.columns if c.lower() not in ("source_size", "target", "places", "_plan", "_draw", "_source", "_twin", "_size")]
-    d, p = F.col("_draw"), F.col("_plan")
-    drawn = documents.select(*ours).withColumn("_draw", draw(F.col("doc_id"), seed))
-    more = F.lit(False)
-    if repeats is not None:
-        # rows of a repeated id are taken alike, by the words of all
-        repeats = repeats.select(F.col("source").alias("_source"), F.col("draw").alias("_twin"), F.col("size").alias("_size"))
-        same = F.col("source").eqNullSafe(F.col("_source")) & (d == F.col("_twin"))
-        drawn = drawn.join(repeats, same, "left").drop("_source", "_twin")
-        size = F.coalesce(F.col("_size"), word_count(F.col("text")))
-        taking = F.filter(p["steps"], lambda x: (d > x["after"]) & (d <= x["upto"]))
-        more = F.exists(taking, lambda x: size.between(1, x["open"]))
-    copies = p["passes"] + F.when((d <= p["cut"]) | more, 1).otherwise(0)
+    plan, bounded, repeats = _planned(documents, shards, seed)
+    ours = [c for c in documents.columns if c.lower() not in ("source_size", "target", "places")]
+    plan_name, draw_name, source_name, twin_name, size_name = free_names(ours, "plan", "draw", "source", "twin", "size")
+    plan = plan.select("source", F.struct(*[c for c in plan.columns if c != "source"]).alias(plan_name))
+    d, p = F.col(draw_name), F.col(plan_name)
+    drawn = documents.select(*ours).withColumn(draw_name, draw(F.col("doc_id"), seed))
+    # rows of a repeated id are taken alike, by the words of all
+    repeats = repeats.select(F.col("source").alias(source_name), F.col("draw").alias(twin_name), F.col("size").alias(size_name))
+    same = F.col("source").eqNullSafe(F.col(source_name)) & (d == F.col(twin_name))
+    drawn = drawn.join(repeats, same, "left").drop(source_name, twin_name)
+    size = F.coalesce(F.col(size_name), word_count(F.col("text")))
+    taking = F.filter(p["steps"], lambda x: (d > x["after"]) & (d <= x["upto"]))
+    partial = ((d <= p["cut"]) & (size > 0)) | F.exists(taking, lambda x: size.between(1, x["open"]))
+    copies = p["passes"] + F.when(partial, 1).otherwise(0)
     at = block(d, p["blocks"])
 
     def place(i: Column) -> Column:
@@ -404,10 +411,8 @@ def mix(documents: DataFrame, shards: int = SHARDS, seed: int = 7, fill: bool =
 
     none = F.array().cast("array<struct<pass:int,shard:int,part:int,rank:bigint>>")
     places = F.when(copies > 0, F.transform(F.sequence(F.lit(0).cast("long"), copies - 1), place)).otherwise(none)
-    return (
-        _join(drawn, plan, bounded)
-        .withColumn("places", places)
-        .select(*ours, p["source_size"].alias("source_size"), p["target"].alias("target"), "places")
+    return _join(drawn, plan, bounded).select(
+        *ours, p["source_size"].alias("source_size"), p["target"].alias("target"), places.alias("places")
     )
 
 

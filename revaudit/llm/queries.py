@@ -46,8 +46,7 @@ def op6_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # in the query's SQL a partial pass ends at the first document that does not fit
-    mixed = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"), fill=False)
+    mixed = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     size = mixing.word_count(F.col("text"))
     return mixed.select(
         "doc_id", size.alias("size"), "source_size", "target", (F.col("size") * F.size("places")).alias("taken")
@@ -158,7 +157,7 @@ FROM copies c JOIN label l ON c.entry = l.node
 """
 
 _OP7 = rf"""
-WITH sized AS (
+WITH RECURSIVE sized AS (
   SELECT doc_id, source, CAST(len({_WORDS}) AS BIGINT) AS size,
          CAST('0x' || substr(md5('7:' || coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 15) AS BIGINT) AS draw
   FROM documents
@@ -179,14 +178,20 @@ WITH sized AS (
   FROM levels
 ), plan AS (
   SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(target / source_size) AS BIGINT) ELSE 0 END AS passes FROM targets
-), running AS (
-  SELECT s.doc_id, s.size, p.source_size, p.target, p.passes,
-         sum(s.size) OVER (PARTITION BY s.source ORDER BY s.draw) AS upto
-  FROM sized s JOIN plan p ON s.source IS NOT DISTINCT FROM p.source
+), ranked_docs AS (
+  SELECT source, draw, CAST(sum(size) AS BIGINT) AS size, row_number() OVER (PARTITION BY source ORDER BY draw) AS r
+  FROM sized GROUP BY source, draw
+), walk AS (
+  SELECT source, CAST(0 AS BIGINT) AS r, CAST(-1 AS BIGINT) AS draw, target - passes * source_size AS open, 0 AS more FROM plan
+  UNION ALL
+  SELECT w.source, d.r, d.draw,
+         w.open - CASE WHEN d.size BETWEEN 1 AND w.open THEN d.size ELSE 0 END,
+         CASE WHEN d.size BETWEEN 1 AND w.open THEN 1 ELSE 0 END
+  FROM walk w JOIN ranked_docs d ON d.source IS NOT DISTINCT FROM w.source AND d.r = w.r + 1
 )
-SELECT doc_id, size, source_size, target,
-       CAST(size * (passes + CASE WHEN upto <= target - passes * source_size THEN 1 ELSE 0 END) AS BIGINT) AS taken
-FROM running
+SELECT s.doc_id, s.size, p.source_size, p.target, CAST(s.size * (p.passes + w.more) AS BIGINT) AS taken
+FROM sized s JOIN plan p ON s.source IS NOT DISTINCT FROM p.source
+JOIN walk w ON s.source IS NOT DISTINCT FROM w.source AND s.draw = w.draw
 """
 
 

@@ -70,12 +70,10 @@ def test_partial_pass_takes_all_that_still_fits(spark, monkeypatch, few, broadca
     for r in rows:
         groups[r["source"], r["draw"]].append(r)
     left = {r["source"]: r["target"] % r["source_size"] for r in rows}
-    first = {s: True for s in left}
     for source, at in sorted(groups, key=lambda k: k[1]):
         own = groups[source, at]
         n = sum(len(words(r["text"])) for r in own)
-        first[source] = first[source] and n <= left[source]
-        fits = n <= left[source] and (n > 0 or first[source])
+        fits = 0 < n <= left[source]
         left[source] -= n * fits
         copies = int(own[0]["target"] // own[0]["source_size"]) + fits
         assert [len(r["places"]) for r in own] == [copies] * len(own)
@@ -83,16 +81,19 @@ def test_partial_pass_takes_all_that_still_fits(spark, monkeypatch, few, broadca
     assert shards <= set(range(16))
 
 
-def test_fill_comes_near_targets(spark, sf_dir):
+def test_mix_comes_near_targets(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "source")
+    size = mixing.word_count(F.col("text")) * F.size("places")
+    rows = mixing.mix(docs).groupBy("source", "target").agg(F.sum(size).alias("n")).collect()
+    shares = [r["n"] / r["target"] for r in rows]
+    assert max(shares) <= 1 and min(shares) > 0.9
 
-    def shares(**how):
-        size = mixing.word_count(F.col("text")) * F.size("places")
-        rows = mixing.mix(docs, **how).groupBy("source", "target").agg(F.sum(size).alias("n")).collect()
-        return [r["n"] / r["target"] for r in rows]
 
-    cut, filled = shares(fill=False), shares()
-    assert max(filled) <= 1 and min(filled) > 0.9 > min(cut) and sum(filled) > sum(cut)
+def test_no_document_is_taken_more_than_three_times(spark):
+    """Documents without words in a source at its limit of three passes."""
+    docs = sources(spark, {"small": [0] * 40 + [3], "large": [50] * 60, "other": [40] * 60})
+    copies = {r["doc_id"]: len(r["places"]) for r in mixing.mix(docs).collect()}
+    assert copies[40] == 3 and set(copies[i] for i in range(40)) == {3}
 
 
 def test_shards_hold_exact_quotas_and_disjoint_blocks(spark, monkeypatch):
@@ -145,9 +146,10 @@ def test_shared_strata_change_only_places(spark, monkeypatch, strata):
 
 
 def test_odd_rows(spark):
-    odd = odd_documents(spark).withColumn("target", F.lit("clash"))
+    odd = odd_documents(spark).withColumns({c: F.lit(c) for c in ("_plan", "_draw", "_source", "__source", "_twin", "_size", "target")})
     out = mixing.mix(odd)
     assert out.columns == [*odd.columns[:-1], "source_size", "target", "places"]
+    assert out.select("_plan", "_draw", "_source", "__source", "_twin", "_size").distinct().count() == 1
     rows = out.collect()
     assert len(rows) == 10
     assert all(len(r["places"]) <= 3 for r in rows)
