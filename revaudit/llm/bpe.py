@@ -285,6 +285,12 @@ def encode(
     return chosen.mapInArrow(_encode_batches(shared, decoded, tuple(kept)), schema)
 
 
+def encoder(documents: DataFrame, tokenizer_path: str):
+    """What `encode` does to the batches of a task (doc_id, text), for operators that go on with its batches."""
+    shared = documents.sparkSession.sparkContext.broadcast(read_tokenizer(tokenizer_path))
+    return _encode_batches(shared, False)
+
+
 def decode(encoded: DataFrame, tokenizer_path: str) -> DataFrame:
     """doc_id and decoded, out of doc_id and ids; null ids decode to the empty text."""
     shared = encoded.sparkSession.sparkContext.broadcast(read_tokenizer(tokenizer_path))

@@ -76,7 +76,7 @@ def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     path = new_path(spark, "token-files")
-    tokenfiles.write(tokenfiles.encode_documents(documents, public_tokenizers.path("word_bpe_49k.json"), END_ID), path)
+    tokenfiles.write_documents(documents, public_tokenizers.path("word_bpe_49k.json"), END_ID, path)
     return tokenfiles.checksums(tokenfiles.read(spark, path))
 
 

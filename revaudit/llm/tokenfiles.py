@@ -27,16 +27,19 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from revaudit.llm import bpe
+from revaudit.llm.words import lists
 from revaudit.operators.scratch import settle
 
 ENCODINGS = ("dictionary", "delta")
+#: Bytes of text to a token, as reckoned when texts are dealt to parts.
+BYTES_PER_TOKEN = 3
 
 
 @dataclass(frozen=True)
 class Layout:
     """How files are cut. Sizes in bytes are of encoded values before compression."""
 
-    tokens_per_part: int = 16_000_000
+    tokens_per_part: int = 8_000_000
     row_group_bytes: int = 16 << 20
     page_bytes: int = 128 << 10
     page_rows: int = 1000
@@ -56,12 +59,6 @@ class Layout:
         }
 
 
-def with_end(encoded: DataFrame, end_id: int) -> DataFrame:
-    """`ids` with the end id behind each document's own; null ids count as none."""
-    none = F.array().cast("array<int>")
-    return encoded.withColumn("ids", F.concat(F.coalesce("ids", none), F.array(F.lit(end_id))))
-
-
 def _number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The place of each row in its part: batches of one task come in the part's order."""
     from pyspark import TaskContext
@@ -92,12 +89,17 @@ def write(encoded: DataFrame, path: str, layout: Layout = Layout()) -> None:
     total = rows.agg(F.coalesce(F.sum("n_tokens"), F.lit(0)).alias("n")).first()["n"]
     order = [F.col("doc_id").asc_nulls_last(), F.xxhash64("ids"), F.col("row")]
     dealt = rows.repartitionByRange(max(1, -(-total // layout.tokens_per_part)), *order).sortWithinPartitions(*order)
-    kind = encoded.schema["doc_id"].dataType.simpleString()
-    numbered = dealt.select("doc_id", "ids").mapInArrow(
-        _number, f"doc_id {kind}, part int, start_in_part long, end_in_part long, ids array<int>"
-    )
+    _write_parts(dealt.select("doc_id", "ids").mapInArrow(_number, _columns(encoded)), path, layout)
+
+
+def _columns(table: DataFrame) -> str:
+    kind = table.schema["doc_id"].dataType.simpleString()
+    return f"doc_id {kind}, part int, start_in_part long, end_in_part long, ids array<int>"
+
+
+def _write_parts(numbered: DataFrame, path: str, layout: Layout) -> None:
     numbered.write.options(**layout.options()).parquet(f"{path}/tokens")
-    sums = spark.read.parquet(f"{path}/tokens").groupBy("part").agg(
+    sums = numbered.sparkSession.read.parquet(f"{path}/tokens").groupBy("part").agg(
         F.count("*").alias("docs"), F.max("end_in_part").alias("n_tokens"),
         F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id"),
     )
@@ -107,6 +109,35 @@ def write(encoded: DataFrame, path: str, layout: Layout = Layout()) -> None:
     sums.select("part", base, "docs", "n_tokens", "first_id", "last_id").coalesce(1).write.parquet(f"{path}/parts")
 
 
+def _with_ends(batches: Iterator[pa.RecordBatch], end_id: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        ids = batch.column("ids")
+        sizes = pc.list_value_length(ids).to_numpy()
+        flat = np.insert(pc.list_flatten(ids).to_numpy(), np.cumsum(sizes), end_id)
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), lists(flat, sizes + 1, pa.int32())], ["doc_id", "ids"])
+
+
+def write_documents(documents: DataFrame, tokenizer_path: str, end_id: int, path: str, layout: Layout = Layout()) -> None:
+    """Encode `documents` (doc_id, text) and write their ids, the end id behind each document's own, as token files.
+
+    Texts are put in order of doc_id first, encoded and written by the same task, so that ids are never shuffled.
+    Null and empty texts have the end id only. Rows without doc_id come last; rows of one doc_id follow each
+    other, in order of a hash of their texts. Other columns are not read. An empty table gives files without rows.
+    """
+    encoder = bpe.encoder(documents, tokenizer_path)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _number(_with_ends(encoder(batches), end_id))
+
+    rows = documents.select("doc_id", "text")
+    size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first()["n"]
+    parts = max(1, -(-size // (layout.tokens_per_part * BYTES_PER_TOKEN)))
+    order = [F.col("doc_id").asc_nulls_last(), F.xxhash64("text")]
+    # the random number splits rows that are equal in all else
+    dealt = rows.repartitionByRange(parts, *order, F.rand(11)).sortWithinPartitions(*order)
+    _write_parts(dealt.mapInArrow(work, _columns(documents)), path, layout)
+
+
 def read(spark: SparkSession, path: str, ids: bool = True) -> DataFrame:
     """doc_id, start, n_tokens and, unless left out, ids. start is the number of ids in all documents before.
 
@@ -167,8 +198,3 @@ def checksums(tokens: DataFrame) -> DataFrame:
     kind = tokens.schema["doc_id"].dataType.simpleString()
     rows = tokens.select("doc_id", "start", "n_tokens", "ids")
     return rows.mapInArrow(_checksums, f"doc_id {kind}, start long, n_tokens long, ids_crc32 long")
-
-
-def encode_documents(documents: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
-    """doc_id and ids of `documents` (doc_id, text), the end id behind each; null and empty texts have only that."""
-    return with_end(bpe.encode(documents, tokenizer_path), end_id)

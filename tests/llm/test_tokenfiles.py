@@ -114,7 +114,7 @@ def test_query_equals_library(spark, sf_dir):
 def test_odd_rows(spark, tmp_path):
     path = str(tmp_path / "odd")
     odd = odd_documents(spark)
-    tokenfiles.write(tokenfiles.encode_documents(odd, public_tokenizers.path("word_bpe_49k.json"), 2), path)
+    tokenfiles.write_documents(odd, public_tokenizers.path("word_bpe_49k.json"), 2, path, Layout(tokens_per_part=30_000))
     found = tokenfiles.checksums(tokenfiles.read(spark, path)).collect()
     expected = brute([(r["doc_id"], r["text"]) for r in odd.collect()])
     key = lambda r: (str(r[0]), r[2], r[3])
