@@ -766,6 +766,7 @@ def oracle_sql() -> dict[str, str]:
     clean_names = ", ".join(_CLEAN_COLUMNS)
     return {
         "read_reviews_csv": _with("reviews", _CSV_REVIEWS),
+        "read_reviews_csv_split": _with("reviews", _CSV_REVIEWS),
         "acquire_reviews": "SELECT * FROM conversations",
         "acquire_local": _with("reviews", _CSV_REVIEWS),
         "acquire_table": _with("order_reviews", "SELECT * FROM order_reviews"),

@@ -92,6 +92,13 @@ def _read_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_reviews_csv(spark, path)
 
 
+@_query("read_reviews_csv_split")
+def _read_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_path(spark, "reviews-csv")
+    write_csv(reviews(spark, sf_dir), path)
+    return read_reviews_csv(spark, path, split=True)
+
+
 @_query("acquire_reviews")
 def _acquire(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load_reviews(spark, "parquet", f"{sf_dir}/conversations.parquet")

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from revaudit.operators.generate import generate_reviews
 from revaudit.schema import CLEAN_TYPES
+from revaudit.sources.splitcsv import read_split_csv
 from revaudit.sources.writers import write_csv
 
 # The cell texts pandas reads as missing.
@@ -36,15 +37,20 @@ def read_reviews_csv(
     path: str,
     types: Mapping[str, T.DataType] = CLEAN_TYPES,
     multi_line: bool = True,
+    split: bool = False,
 ) -> DataFrame:
     """Read a CSV with a header; columns without a known type stay strings.
 
-    Quoted cells may span lines, which keeps Spark from splitting a file; pass
-    ``multi_line=False`` for large files without line breaks in their texts.
+    Quoted cells may span lines, which keeps Spark from splitting a file. For large files pass
+    ``split=True``, which finds record borders by counting quotes and reads blocks in parallel,
+    or ``multi_line=False`` if no text has a line break.
     """
-    raw = spark.read.csv(
-        path, header=True, inferSchema=False, multiLine=multi_line, quote='"', escape='"'
-    )
+    if split:
+        raw = read_split_csv(spark, path)
+    else:
+        raw = spark.read.csv(
+            path, header=True, inferSchema=False, multiLine=multi_line, quote='"', escape='"'
+        )
     return raw.select(*[_typed(name, types.get(name, T.StringType())) for name in raw.columns])
 
 
