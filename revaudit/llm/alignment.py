@@ -14,8 +14,10 @@ the others, each with less than that share of all links, are joined by a shuffle
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from revaudit.llm.bpe import byte_letters
+from revaudit.llm.bpe import _BLANK, _PLAIN, _plain_class, byte_letters, gather
 from revaudit.llm.common import slices
 from revaudit.llm.words import lists, text_bytes
 from revaudit.operators.scratch import settle
@@ -32,9 +34,7 @@ from revaudit.operators.scratch import settle
 KNOWN_PAIRS = 1 << 18
 
 _SPACE = "▁"
-_COUNTED = (
-    "n_a long, n_b long, n_groups long, groups_sha256 string, pairs array<long>, times array<int>"
-)
+_COUNTED = "n_a long, n_b long, n_groups long, groups_sha256 string, pairs array<long>, times array<int>"
 
 
 @dataclass
@@ -74,8 +74,33 @@ class ByteLevel:
             [bytes(byte[c] for c in n) if all(c in byte for c in n) else n.encode() for n in names]
         )
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self._library.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
+        letters, digits = _plain_class("L"), _plain_class("N")
+        # Fixed value: the pattern by which byte-level files split texts, over the plain characters.
+        self._words = re.compile(
+            f"'s|'t|'re|'ve|'m|'ll|'d| ?[{letters}]+| ?[{digits}]+| ?[^{_BLANK}{letters}{digits}]+|[{_BLANK}]+(?![^{_BLANK}])|[{_BLANK}]+"
+        )
+
+    def _ids(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self._library.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, each behind a space, and how many each has.
+
+        No merge crosses a word, so the library encodes each distinct word once. Texts with characters whose kind
+        depends on a version of Unicode go to it whole.
+        """
+        pieces: list[str] = []
+        sizes = np.zeros(len(texts), np.int64)
+        for i, text in enumerate(texts):
+            text = " " + text
+            own = self._words.findall(text) if text.isascii() or _PLAIN.fullmatch(text) else [text]
+            sizes[i] = len(own)
+            pieces.extend(own)
+        coded = pa.array(pieces, pa.large_string()).dictionary_encode()
+        ids, counts = _flat(self._ids(coded.dictionary.to_pylist()))
+        flat, each = gather(ids, counts, coded.indices.to_numpy())
+        ends = np.concatenate([[0], np.cumsum(each)])[np.cumsum(np.append(0, sizes))]
+        return flat, np.diff(ends)
 
 
 class Pieces:
@@ -91,8 +116,9 @@ class Pieces:
             pieces.append(bytes([int(piece[3:5], 16)]) if self._library.is_byte(i) else piece.replace(_SPACE, " ").encode())
         self.entries = Entries.of(pieces)
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        return self._library.encode(texts, num_threads=1)
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts and how many each has."""
+        return _flat(self._library.encode(texts, num_threads=1))
 
 
 def terminals(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -114,8 +140,7 @@ def terminals(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.nd
 
 def _flat(rows: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
     sizes = np.array([len(r) for r in rows], np.int64)
-    flat = np.fromiter((i for r in rows for i in r), np.int64, int(sizes.sum()))
-    return flat, sizes
+    return np.fromiter(chain.from_iterable(rows), np.int64, int(sizes.sum())), sizes
 
 
 def _spelled(groups: np.ndarray, ids: np.ndarray, of_b: np.ndarray, doc: np.ndarray) -> pa.Array:
@@ -138,7 +163,7 @@ def align(column: pa.Array, a: ByteLevel, b: Pieces) -> list[pa.Array]:
     rows = len(texts)
     some = [i for i, t in enumerate(texts) if t]
     given = [texts[i] for i in some]
-    flats = [_flat(t.encode(given)) for t in (a, b)] if given else [(np.zeros(0, np.int64),) * 2] * 2
+    flats = [t.encode(given) for t in (a, b)] if given else [(np.zeros(0, np.int64),) * 2] * 2
     some = np.array(some, np.int64)
 
     # texts whose tokens do not spell them have none

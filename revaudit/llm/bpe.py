@@ -213,7 +213,7 @@ def merge_words(words: pa.Array, t: Tokenizer) -> tuple[np.ndarray, np.ndarray]:
     return ids[np.argsort(word, kind="stable")], np.bincount(word, minlength=len(sizes))
 
 
-def _gather(ids: np.ndarray, counts: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def gather(ids: np.ndarray, counts: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The ids of the words that the codes name, in the codes' order, and how many each has."""
     first, size = np.cumsum(counts) - counts, counts[codes]
     begin = np.repeat(first[codes] - (np.cumsum(size) - size), size)
@@ -249,7 +249,7 @@ def _encode_batches(shared, texts_too: bool, kept: tuple[str, ...] = ("doc_id",)
                         ids[ends[at] - counts[at]] = i
                         counts[at] = 1
                     ids = ids[keep]
-                flat, size = _gather(ids, counts, coded.indices.to_numpy())
+                flat, size = gather(ids, counts, coded.indices.to_numpy())
                 ends = np.concatenate([[0], np.cumsum(size)])[np.cumsum([0, *sizes])]
                 made = [lists(flat.astype(np.int32), np.diff(ends), pa.int32())]
                 if texts_too:
