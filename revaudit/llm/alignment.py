@@ -17,6 +17,7 @@ import hashlib
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -217,12 +218,18 @@ def align(column: pa.Array, a: ByteLevel, b: Pieces) -> list[pa.Array]:
     ]
 
 
+@lru_cache(maxsize=1)
+def _loaded(path_a: str, path_b: str) -> tuple[ByteLevel, Pieces]:
+    """Both tokenizers, read once by a worker for all its tasks."""
+    return ByteLevel(path_a), Pieces(path_b)
+
+
 def _align_batches(path_a: str, path_b: str):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import os
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        a, b = ByteLevel(path_a), Pieces(path_b)
+        a, b = _loaded(path_a, path_b)
         names = ["doc_id", "n_a", "n_b", "n_groups", "groups_sha256", "pairs", "times"]
         for batch in batches:
             for part in slices(batch, most=2 << 20):
