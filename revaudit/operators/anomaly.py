@@ -16,7 +16,7 @@ from revaudit.operators.duplicates import (
     keyed_reviews,
     repeated_reviews,
 )
-from revaudit.operators.quantiles import quantiles
+from revaudit.operators.quantiles import Quantiles, quantiles
 from revaudit.operators.subquery import as_scalar, with_scalar
 from revaudit.schema import NUMERIC_COLUMNS
 from revaudit.settings import Settings
@@ -42,9 +42,13 @@ def _moments(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.agg(*parts)
 
 
-def _iqr_test(name: str, settings: Settings) -> Column:
-    """Outside the quartiles found in the ``cuts`` column."""
-    value, first, third = F.col(name), F.col(f"cuts.`{name}`")[0], F.col(f"cuts.`{name}`")[1]
+def _number(value: float | None) -> Column:
+    return F.lit(value).cast("double")
+
+
+def _iqr_test(name: str, cuts: Quantiles, settings: Settings) -> Column:
+    """Outside the column's quartiles, the first two of its cuts."""
+    value, first, third = F.col(name), _number(cuts[name][0]), _number(cuts[name][1])
     reach = (third - first) * settings.iqr_multiplier
     return (value < first - reach) | (value > third + reach)
 
@@ -59,8 +63,7 @@ def outliers_iqr(df: DataFrame, column: str, settings: Settings = Settings()) ->
     """Rows strictly outside the quartiles by more than 1.5 interquartile ranges."""
     if column not in df.columns:
         return df.filter(F.lit(False))
-    bounded = with_scalar(df, "cuts", quantiles(df, {column: [0.25, 0.75]}))
-    return bounded.filter(_iqr_test(column, settings)).drop("cuts")
+    return df.filter(_iqr_test(column, quantiles(df, {column: [0.25, 0.75]}), settings))
 
 
 def outliers_zscore(df: DataFrame, column: str, settings: Settings = Settings()) -> DataFrame:
@@ -71,11 +74,11 @@ def outliers_zscore(df: DataFrame, column: str, settings: Settings = Settings())
     return measured.filter(_z_test(column, settings)).drop("moments")
 
 
-def _outlier_measures(columns: Sequence[str], settings: Settings) -> Column:
+def _outlier_measures(columns: Sequence[str], cuts: Quantiles, settings: Settings) -> Column:
     return F.struct(
         *[
             F.struct(
-                F.count_if(_iqr_test(name, settings)).alias("iqr"),
+                F.count_if(_iqr_test(name, cuts, settings)).alias("iqr"),
                 F.count_if(_z_test(name, settings)).alias("zscore"),
             ).alias(name)
             for name in columns
@@ -93,9 +96,8 @@ def outlier_counts(
     cuts = quantiles(df, {name: [0.25, 0.75] for name in present})
     measured = (
         df.select(*present)
-        .transform(with_scalar, "cuts", cuts)
         .transform(with_scalar, "moments", _moments(df, present))
-        .agg(_outlier_measures(present, settings).alias("found"))
+        .agg(_outlier_measures(present, cuts, settings).alias("found"))
     )
     cells = [
         part
@@ -109,53 +111,53 @@ def outlier_counts(
 
 
 def outlier_rows(
-    df: DataFrame, columns: Sequence[str] = NUMERIC_COLUMNS, settings: Settings = Settings()
+    df: DataFrame,
+    columns: Sequence[str] = NUMERIC_COLUMNS,
+    settings: Settings = Settings(),
+    cuts: Quantiles | None = None,
 ) -> DataFrame:
-    """Rows that any test finds, with the tests that found them as ``column.method``."""
+    """Rows that any test finds, with the tests that found them as ``column.method``.
+
+    ``cuts`` comes from ``report_cuts`` if the caller has it already.
+    """
     present = [name for name in columns if name in df.columns]
     if not present:
         return df.withColumn("found_by", F.array().cast("array<string>")).filter(F.lit(False))
+    cuts = quantiles(df, {name: [0.25, 0.75] for name in present}) if cuts is None else cuts
     tests = [
         F.when(test, F.lit(f"{name}.{method}"))
         for name in present
-        for method, test in (("iqr", _iqr_test(name, settings)), ("zscore", _z_test(name, settings)))
+        for method, test in (
+            ("iqr", _iqr_test(name, cuts, settings)),
+            ("zscore", _z_test(name, settings)),
+        )
     ]
-    found = _bounded(df, present, settings).withColumn("found_by", F.array_compact(F.array(*tests)))
-    return found.filter(F.size("found_by") > 0).drop("cuts", "moments")
+    measured = with_scalar(df, "moments", _moments(df, present))
+    found = measured.withColumn("found_by", F.array_compact(F.array(*tests)))
+    return found.filter(F.size("found_by") > 0).drop("moments")
 
 
-def _first_ids(hits: DataFrame, first: int) -> DataFrame:
-    """How many rows were hit, and the lowest review ids among them.
+def _lowest_ids(hits: DataFrame, first: int) -> DataFrame:
+    """The lowest review ids: a top-k, cut in every task."""
+    return hits.select("review_id").orderBy(F.col("review_id").asc_nulls_last()).limit(first)
 
-    Each input partition is counted and cut to its lowest ids; both parts of the result read that.
-    """
-    own = Window.partitionBy("part")
-    by_id = own.orderBy(F.col("review_id").asc_nulls_last())
-    lowest = (
-        hits.select("review_id", F.spark_partition_id().alias("part"))
-        .withColumn("hits", F.count(F.lit(1)).over(own))
-        .withColumn("place", F.row_number().over(by_id))
-        .filter(F.col("place") <= first)
-    )
-    total = lowest.agg(F.sum(F.when(F.col("place") == 1, F.col("hits"))).alias("n")).scalar()
-    return (
-        lowest.orderBy(F.col("review_id").asc_nulls_last())
-        .limit(first)
-        .select(total.alias("matches"), "review_id")
-    )
+
+def _first_ids(hits: DataFrame, first: int) -> DataFrame:
+    """How many rows were hit, by one count, and the lowest review ids among them."""
+    total = hits.agg(F.count(F.lit(1)).alias("n")).scalar()
+    return _lowest_ids(hits, first).select(total.alias("matches"), "review_id")
 
 
 def _is_short(settings: Settings) -> Column:
     return F.col("text_length") < settings.short_text_below
 
 
-def _has_odd_votes(threshold: Column, settings: Settings) -> Column:
-    return (F.col("useful_votes") > threshold) & (F.col("rating") <= settings.negative_to)
+def _has_odd_votes(threshold: float | None, settings: Settings) -> Column:
+    return (F.col("useful_votes") > _number(threshold)) & (F.col("rating") <= settings.negative_to)
 
 
-def _vote_threshold(df: DataFrame, settings: Settings) -> Column:
-    cut = quantiles(df, {"useful_votes": [settings.vote_quantile]})
-    return cut.select(F.element_at("useful_votes", 1).alias("threshold")).scalar()
+def _vote_threshold(df: DataFrame, settings: Settings) -> float | None:
+    return quantiles(df, {"useful_votes": [settings.vote_quantile]})["useful_votes"][0]
 
 
 def _no_ids(df: DataFrame) -> DataFrame:
@@ -176,14 +178,14 @@ def suspicious_votes(df: DataFrame, settings: Settings = Settings()) -> DataFram
     return _first_ids(df.filter(odd), settings.sample_rows)
 
 
-def _pattern_measures(df: DataFrame, threshold: Column | None, settings: Settings) -> dict:
-    """A count for each pattern whose columns are there, by the pattern's name and description."""
-    measures = {}
+def _pattern_tests(df: DataFrame, threshold: float | None, settings: Settings) -> dict:
+    """The test for each pattern whose columns are there, by the pattern's name and description."""
+    tests = {}
     if "text_length" in df.columns:
-        measures[SHORT_REVIEWS] = F.count_if(_is_short(settings))
+        tests[SHORT_REVIEWS] = _is_short(settings)
     if {"useful_votes", "rating"} <= set(df.columns):
-        measures[SUSPICIOUS_VOTES] = F.count_if(_has_odd_votes(threshold, settings))
-    return measures
+        tests[SUSPICIOUS_VOTES] = _has_odd_votes(threshold, settings)
+    return tests
 
 
 def _has_business_texts(df: DataFrame) -> bool:
@@ -194,12 +196,12 @@ def suspicious_summary(df: DataFrame, settings: Settings = Settings()) -> DataFr
     """Each pattern that occurs: type, count and description. Absent columns have no pattern."""
     votes = {"useful_votes", "rating"} <= set(df.columns)
     threshold = _vote_threshold(df, settings) if votes else None
-    measures = _pattern_measures(df, threshold, settings)
+    tests = _pattern_tests(df, threshold, settings)
     counted = df.agg(
         F.count(F.lit(1)).alias("rows"),
-        *[column.alias(kind) for (kind, _), column in measures.items()],
+        *[F.count_if(test).alias(kind) for (kind, _), test in tests.items()],
     )
-    patterns = list(measures)
+    patterns = list(tests)
     if _has_business_texts(df):
         counted = counted.withColumn(REPEATED_REVIEWS[0], repeated_reviews(df).scalar())
         patterns.append(REPEATED_REVIEWS)
@@ -270,20 +272,16 @@ def _alert(outliers: Column, duplicates: Column, patterns: Column) -> Column:
     return F.when(lines == "", ALL_CLEAR).otherwise(lines)
 
 
-def _bounded(df: DataFrame, columns: Sequence[str], settings: Settings) -> DataFrame:
-    """Add the ``cuts`` and ``moments`` of the columns, and the vote threshold as a third cut."""
-    if not columns:
-        return df
-    wanted = {name: [0.25, 0.75] for name in columns}
+def report_cuts(df: DataFrame, settings: Settings = Settings()) -> Quantiles:
+    """The quartiles of the numeric columns and the vote threshold, from one pass over the table."""
+    wanted = {name: [0.25, 0.75] for name in NUMERIC_COLUMNS if name in df.columns}
     if "useful_votes" in wanted:
         wanted["useful_votes"] = [0.25, 0.75, settings.vote_quantile]
-    return df.transform(with_scalar, "cuts", quantiles(df, wanted)).transform(
-        with_scalar, "moments", _moments(df, columns)
-    )
+    return quantiles(df, wanted)
 
 
 def _sample(hits: DataFrame) -> Column:
-    """The ids of a table of matches and review ids, as one array."""
+    """The ids of a table of review ids as one array in order."""
     ids = F.collect_list(F.struct("review_id"))
     ordered = F.array_sort(ids, lambda x, y: _nulls_last(x["review_id"], y["review_id"]))
     return hits.agg(F.transform(ordered, lambda x: x["review_id"]).alias("ids")).scalar()
@@ -319,28 +317,34 @@ def stored_keys(df: DataFrame, settings: Settings = Settings()) -> DataFrame:
 
 
 def anomaly_report(
-    df: DataFrame, settings: Settings = Settings(), duplicates: DataFrame | None = None
+    df: DataFrame,
+    settings: Settings = Settings(),
+    duplicates: DataFrame | None = None,
+    cuts: Quantiles | None = None,
 ) -> DataFrame:
     """One nested row: outliers per column and method, duplicates, patterns, nulls, the alert.
 
     Duplicates, patterns and columns with nulls come with the lowest review ids that have them; only
     patterns that occur and columns with nulls are listed. ``duplicates`` is the one-row result of
-    ``duplicate_report`` if the caller has it already.
+    ``duplicate_report`` and ``cuts`` that of ``report_cuts`` if the caller has them already.
     """
     present = [name for name in NUMERIC_COLUMNS if name in df.columns]
-    patterns = _pattern_measures(df, F.col("cuts.useful_votes")[2], settings)
-    measures = {kind: column for (kind, _), column in patterns.items()}
+    cuts = report_cuts(df, settings) if cuts is None else cuts
+    patterns = _pattern_tests(df, cuts.get("useful_votes", [None])[-1], settings)
+    measures = {kind: F.count_if(test) for (kind, _), test in patterns.items()}
+    measured = df
     if present:
-        measures["outliers"] = _outlier_measures(present, settings)
+        measures["outliers"] = _outlier_measures(present, cuts, settings)
+        measured = with_scalar(df, "moments", _moments(df, present))
     measures["rows"] = F.count(F.lit(1))
-    scanned = _bounded(df, present, settings).agg(
-        *[column.alias(name) for name, column in measures.items()]
-    )
+    scanned = measured.agg(*[column.alias(name) for name, column in measures.items()])
     if duplicates is None:
         duplicates = duplicate_report(stored_keys(df), settings.sample_rows)
     none = F.array().cast(f"array<{dict(df.dtypes)['review_id']}>")
-    hits = {SHORT_REVIEWS: suspicious_short, SUSPICIOUS_VOTES: suspicious_votes}
-    samples = {known: _sample(hits[known](df, settings)) for known in patterns}
+    samples = {
+        known: _sample(_lowest_ids(df.filter(test), settings.sample_rows))
+        for known, test in patterns.items()
+    }
     if _has_business_texts(df):
         samples[REPEATED_REVIEWS] = none
 

@@ -1,38 +1,81 @@
-"""Exact linear-interpolated quantiles of whole columns.
+"""Exact linear-interpolated quantiles of whole columns, all columns of a report in one go.
 
 The built-in exact ``percentile`` keeps every distinct value in one buffer of one task. Here the
-work stays spread out: values are first counted (with map-side combine), approximate marks cut
-the counted values into buckets, and only the buckets that hold a wanted rank are put in order.
-The marks decide the bucket sizes alone; every rank comes from exact counts.
+values are counted once (with map-side combine) and the counts stored. Approximate marks then cut the
+counted values into buckets, and every bucket that holds a wanted rank is cut again until it has at
+most _BUCKETS values, which are put in order. The marks decide the bucket sizes alone; every rank
+comes from exact counts.
+
+The driver holds one round's marks, bucket sizes or last values: at most _BUCKETS rows for each wanted
+rank. A column of 10^8 distinct values is cut three times.
 """
 
 from __future__ import annotations
 
+import math
+from bisect import bisect_right
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+
+from revaudit.operators.scratch import settle
 
 _BUCKETS = 512
 _MARK_ACCURACY = 5120
 
+#: Quantiles by column, in the order asked for.
+Quantiles = dict[str, list[float | None]]
+
+
+@dataclass
+class _Range:
+    """Counted values of one column between two of them, and the ranks looked for among them."""
+
+    name: str
+    low: float
+    high: float
+    below: int
+    values: int
+    ranks: set[int] = field(default_factory=set)
 
-def _value_counts(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    def holds(self) -> str:
+        name = self.name.replace("\\", "\\\\").replace("'", "\\'")
+        return f"name = '{name}' AND value >= {_literal(self.low)} AND value <= {_literal(self.high)}"
+
+
+def _literal(number: float) -> str:
+    return f"{number!r}D" if math.isfinite(number) else f"double('{number}')"
+
+
+def value_counts(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """(name, value, n) over all columns, nulls and NaN left out."""
-    pairs = [part for name in names for part in (F.lit(name), F.col(name).cast("double"))]
+    pairs = [part for name in names for part in (F.lit(name), F.col(f"`{name}`").cast("double"))]
     cells = df.select(F.stack(F.lit(len(names)), *pairs).alias("name", "value"))
     known = cells.filter(F.col("value").isNotNull() & ~F.isnan("value"))
     return known.groupBy("name", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _in_buckets(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Add the bucket of each value among those of its key: the number of marks below it."""
+def _tagged(counts: DataFrame, ranges: Sequence[_Range]) -> DataFrame:
+    """The counted values within the ranges, each with its range's number."""
+    cases = " ".join(f"WHEN {part.holds()} THEN {i}" for i, part in enumerate(ranges))
+    inside = " OR ".join(f"({part.holds()})" for part in ranges)
+    return counts.filter(inside).withColumn("tag", F.expr(f"CASE {cases} END"))
+
+
+def _marks(tagged: DataFrame) -> dict[int, list[float]]:
     steps = ", ".join(f"{i / _BUCKETS}D" for i in range(1, _BUCKETS))
     cuts = F.expr(f"percentile_approx(value, array({steps}), {_MARK_ACCURACY})")
-    # Reading n, too, lets Spark reuse the shuffle of the counts instead of pruning a second one.
-    seen = counts.filter(F.col("n") > 0)
-    marks = seen.groupBy(*keys).agg(cuts.alias("marks"))
+    return {r["tag"]: sorted(set(r["marks"])) for r in tagged.groupBy("tag").agg(cuts.alias("marks")).collect()}
+
+
+def _buckets(tagged: DataFrame, marks: Mapping[int, Sequence[float]]) -> dict[int, list]:
+    """Per range its buckets in order: number of rows, lowest and highest value."""
+    arrays = " ".join(
+        f"WHEN {tag} THEN array({', '.join(_literal(mark) for mark in own)})" for tag, own in marks.items()
+    )
     # Binary search for the number of marks below a value, from half the marks down to one.
     halves = F.array(*[F.lit(_BUCKETS >> i) for i in range(1, _BUCKETS.bit_length())])
     bucket = F.aggregate(
@@ -42,88 +85,95 @@ def _in_buckets(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
             F.get("marks", place + step - 1) < F.col("value"), place + step
         ).otherwise(place),
     )
-    # One row of _BUCKETS - 1 marks per key: the broadcast does not grow with the data.
-    return counts.join(F.broadcast(marks), list(keys)).withColumn("bucket", bucket).drop("marks")
-
-
-def _wanted_ranks(placed: DataFrame, wanted: Mapping[str, Sequence[float]]) -> DataFrame:
-    """The buckets holding the two ranks next to each wanted quantile, at most two per quantile."""
-    by_bucket = Window.partitionBy("name").orderBy("bucket")
-    whole = Window.partitionBy("name")
-    reach = (
-        placed.groupBy("name", "bucket")
-        .agg(F.sum("n").alias("size"))
-        .withColumn("upto", F.sum("size").over(by_bucket))
-        .withColumn("rows", F.sum("size").over(whole))
-    )
-    probabilities = F.create_map(
-        *[
-            part
-            for name, probs in wanted.items()
-            for part in (F.lit(name), F.array(*[F.lit(float(p)) for p in probs]))
-        ]
+    sizes = (
+        tagged.withColumn("marks", F.expr(f"CASE tag {arrays} END"))
+        .groupBy("tag", bucket.alias("bucket"))
+        .agg(F.sum("n").alias("size"), F.min("value").alias("low"), F.max("value").alias("high"),
+             F.count(F.lit(1)).alias("values"))
     )
-    position = F.col("p") * (F.col("rows") - 1)
-    return (
-        reach.select(
-            "name", "bucket", "upto", "rows", (F.col("upto") - F.col("size")).alias("below"),
-            F.posexplode(F.element_at(probabilities, F.col("name"))).alias("slot", "p"),
-        )
-        .withColumn("position", position)
-        .withColumn("low", F.floor("position"))
-        .withColumn("high", F.ceil("position"))
-        .filter((F.col("below") <= F.col("high")) & (F.col("upto") > F.col("low")))
-        .select("name", "bucket", "below", "slot", "position", "low", "high")
+    out: dict[int, list] = {}
+    for row in sorted(sizes.collect(), key=lambda r: (r["tag"], r["bucket"])):
+        out.setdefault(row["tag"], []).append(row)
+    return out
+
+
+def _place(part: _Range, rows: Sequence, rank: int) -> tuple[int, int]:
+    """Which of the buckets or values in order holds a rank, and the number of rows before it."""
+    ends = list(accumulate((r["size"] for r in rows), initial=part.below))
+    at = bisect_right(ends, rank) - 1
+    return at, ends[at]
+
+
+def _narrowed(counts: DataFrame, ranges: Sequence[_Range]) -> list[_Range]:
+    """Cut the ranges once; each bucket that holds a wanted rank is a narrower range."""
+    tagged = _tagged(counts, ranges)
+    left = []
+    for tag, rows in _buckets(tagged, _marks(tagged)).items():
+        part, narrower = ranges[tag], {}
+        for rank in part.ranks:
+            at, below = _place(part, rows, rank)
+            row = rows[at]
+            own = narrower.setdefault(
+                at, _Range(part.name, row["low"], row["high"], below, row["values"])
+            )
+            own.ranks.add(rank)
+        left += narrower.values()
+    return left
+
+
+def _found(counts: DataFrame, ranges: Sequence[_Range]) -> dict[tuple[str, int], float]:
+    """The values at the wanted ranks of ranges of at most _BUCKETS values."""
+    listed: dict[int, list] = {}
+    tagged = _tagged(counts, ranges).select("tag", "value", F.col("n").alias("size"))
+    for row in sorted(tagged.collect(), key=lambda r: (r["tag"], r["value"])):
+        listed.setdefault(row["tag"], []).append(row)
+    return {
+        (part.name, rank): listed[tag][_place(part, listed[tag], rank)[0]]["value"]
+        for tag, part in enumerate(ranges)
+        for rank in part.ranks
+    }
+
+
+def quantiles_of_counts(counts: DataFrame, wanted: Mapping[str, Sequence[float]]) -> Quantiles:
+    """The quantiles of counted values (name, value, n); read several times, so hand in a stored table."""
+    reach = counts.groupBy("name").agg(
+        F.sum("n"), F.min("value"), F.max("value"), F.count(F.lit(1))
     )
-
-
-def _narrowed(ranked: DataFrame) -> DataFrame:
-    """Cut the wanted buckets into buckets again and keep those that hold a wanted rank.
-
-    A column of 10^11 distinct values leaves buckets of a few hundred thousand.
+    places: dict[str, list[float]] = {}
+    open_ranges = []
+    for name, rows, low, high, values in reach.collect():
+        if name in wanted:
+            places[name] = [p * (rows - 1) for p in wanted[name]]
+            ranks = {rank for place in places[name] for rank in (math.floor(place), math.ceil(place))}
+            open_ranges.append(_Range(name, low, high, 0, values, ranks))
+    few = []
+    while open_ranges:
+        few += [part for part in open_ranges if part.values <= _BUCKETS]
+        open_ranges = [part for part in open_ranges if part.values > _BUCKETS]
+        if open_ranges:
+            open_ranges = _narrowed(counts, open_ranges)
+    found = _found(counts, few) if few else {}
+
+    def quantile(name: str, place: float) -> float:
+        under, over = found[name, math.floor(place)], found[name, math.ceil(place)]
+        return under if under == over else under + (over - under) * (place - math.floor(place))
+
+    return {
+        name: [quantile(name, place) for place in places[name]] if name in places else [None] * len(probs)
+        for name, probs in wanted.items()
+    }
+
+
+def quantiles(df: DataFrame, wanted: Mapping[str, Sequence[float]]) -> Quantiles:
+    """Per column its quantiles, in the order asked for; None for a column without values.
+
+    Runs at once: the table is read a single time, for all columns together.
     """
-    keys = ["name", "slot", "outer"]
-    placed = _in_buckets(ranked.withColumnRenamed("bucket", "outer"), keys)
-    order = Window.partitionBy(*keys).orderBy("bucket")
-    reach = (
-        placed.groupBy(*keys, "bucket", "below", "low", "high")
-        .agg(F.sum("n").alias("size"))
-        .withColumn("upto", F.col("below") + F.sum("size").over(order))
-        .withColumn("start", F.col("upto") - F.col("size"))
-        .filter((F.col("start") <= F.col("high")) & (F.col("upto") > F.col("low")))
-        .select(*keys, "bucket", "start")
-    )
-    return placed.join(F.broadcast(reach), [*keys, "bucket"]).withColumn("below", F.col("start"))
-
-
-def wanted_values(df: DataFrame, wanted: Mapping[str, Sequence[float]]) -> DataFrame:
-    """The counted values of the buckets that hold a wanted rank, as they are put in order."""
-    placed = _in_buckets(_value_counts(df, list(wanted)), ["name"])
-    ranked = placed.join(F.broadcast(_wanted_ranks(placed, wanted)), ["name", "bucket"])
-    return _narrowed(ranked)
-
-
-def quantiles(df: DataFrame, wanted: Mapping[str, Sequence[float]]) -> DataFrame:
-    """One row; per column an array with its quantiles, in the order asked for."""
-    ordered = Window.partitionBy("name", "slot", "outer", "bucket").orderBy("value")
-    reached = F.col("below") + F.sum("n").over(ordered)
-    ranked = wanted_values(df, wanted).withColumn("reached", reached)
-
-    def quantile(name: str, slot: int) -> Column:
-        own = (F.col("name") == name) & (F.col("slot") == slot)
-        under = F.min(F.when(own & (F.col("reached") > F.col("low")), F.col("value")))
-        over = F.min(F.when(own & (F.col("reached") > F.col("high")), F.col("value")))
-        part = F.max(F.when(own, F.col("position") - F.col("low")))
-        return under + (over - under) * part
-
-    return ranked.agg(
-        *[
-            F.array(*[quantile(name, slot) for slot in range(len(probs))]).alias(name)
-            for name, probs in wanted.items()
-        ]
-    )
+    if not wanted:
+        return {}
+    return quantiles_of_counts(settle(value_counts(df, list(wanted)), "value-counts"), wanted)
 
 
 def median(df: DataFrame, name: str) -> Column:
-    """The median of a column as a scalar subquery."""
-    return quantiles(df, {name: [0.5]}).select(F.element_at(name, 1).alias("median")).scalar()
+    """The median of a column, computed at once, as a literal."""
+    return F.lit(quantiles(df, {name: [0.5]})[name][0]).cast("double")

@@ -16,7 +16,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revaudit.operators.anomaly import anomaly_report, outlier_rows, stored_keys
+from revaudit.operators.anomaly import anomaly_report, outlier_rows, report_cuts, stored_keys
 from revaudit.operators.bias import bias_facts, bias_summary, bias_tables
 from revaudit.operators.clean import preprocess
 from revaudit.operators.duplicates import duplicate_report
@@ -62,8 +62,9 @@ def _validation(job: Job) -> dict[str, Column]:
 
 
 def _anomalies(job: Job) -> dict[str, Column]:
-    write_parquet(outlier_rows(job.clean, settings=job.settings), f"{job.base}/outliers")
-    report = anomaly_report(job.clean, job.settings, job.duplicates)
+    cuts = report_cuts(job.clean, job.settings)
+    write_parquet(outlier_rows(job.clean, settings=job.settings, cuts=cuts), f"{job.base}/outliers")
+    report = anomaly_report(job.clean, job.settings, job.duplicates, cuts)
     found = report.first()
     saved = job.clean.sparkSession.createDataFrame([found], report.schema)
     write_json(saved, f"{job.base}/anomalies")
