@@ -293,6 +293,50 @@ def _missing(source: str, columns: tuple[str, ...]) -> str:
     )
 
 
+def _column_checks(source: str) -> str:
+    """Nulls of every column, and ranges of the numeric ones, column by column."""
+    rules = {
+        "rating": "rating < 1 OR rating > 5", "text_length": "text_length = 0",
+        "useful_votes": "useful_votes < 0",
+    }
+    numbers = ("rating", *_MEASURED)
+    none = "CAST(NULL AS DOUBLE)"
+    lines = []
+    for c in _REVIEW_COLUMNS:
+        low, high, mean = (
+            _r(f"{f}({c})") if c in numbers else none for f in ("min", "max", "avg")
+        )
+        broken = f"count(*) FILTER ({rules.get(c, 'false')})"
+        lines.append(
+            f"SELECT '{c}' AS \"column\", count(*) AS rows, {low} AS min, {high} AS max,"
+            f" {mean} AS mean, {broken} AS broken_count, {broken} = 0 AS valid FROM {source}"
+        )
+    joined = "\nUNION ALL\n".join(lines)
+    return f"""
+SELECT * FROM ({joined}) JOIN ({_missing(source, _REVIEW_COLUMNS)}) USING ("column")"""
+
+
+def _outlier_rows(source: str) -> str:
+    """Rows outside the quartiles or far from the mean of any measured column, with the tests' names."""
+    cuts = ", ".join(
+        f"quantile_cont(CAST({c} AS DOUBLE), 0.25) AS q1_{c},"
+        f" quantile_cont(CAST({c} AS DOUBLE), 0.75) AS q3_{c},"
+        f" avg({c}) AS mean_{c}, stddev_pop({c}) AS deviation_{c}"
+        for c in _MEASURED
+    )
+    tests = ", ".join(
+        f"CASE WHEN {c} < q1_{c} - 1.5 * (q3_{c} - q1_{c}) OR {c} > q3_{c} + 1.5 * (q3_{c} - q1_{c})"
+        f" THEN '{c}.iqr' END,"
+        f" CASE WHEN abs({c} - mean_{c}) / nullif(deviation_{c}, 0) > 3 THEN '{c}.zscore' END"
+        for c in _MEASURED
+    )
+    return f"""
+SELECT * FROM (
+  SELECT review_id, user_id, {', '.join(_MEASURED)}, concat_ws(', ', {tests}) AS found_by
+  FROM {source}, (SELECT {cuts} FROM {source}))
+WHERE found_by <> ''"""
+
+
 def _members(source: str, keys: str) -> str:
     return (
         f"(SELECT CAST(coalesce(sum(n), 0) AS BIGINT) FROM"
@@ -941,6 +985,16 @@ SELECT CAST(total_outliers AS VARCHAR) AS total_outliers,
    WHERE duplicate_set = 'all_columns') AS first_exact_duplicate
 FROM ({_alert_row('clean_dup', _CLEAN_COLUMNS)})"""),
         "job_bias": _with("clean_dup", _bias_analysis("clean_dup")),
+        "job_outliers": _with("clean_dup", _outlier_rows("clean_dup")),
+        "stream_column_checks": _with("reviews", _column_checks("reviews")),
+        "stream_rating_distribution": _with("reviews", f"""
+SELECT CAST(rating AS DOUBLE) AS rating, share FROM ({_rating_distribution("reviews")})"""),
+        "stream_rating_summary": _with("reviews", _rating_summary("reviews")),
+        "stream_category_bias": _with("reviews", _category_bias("reviews", "business_category")),
+        "parts_monthly_trend_orders": _with("order_reviews", _monthly("order_reviews")),
+        "parts_business_stats_orders": _with("order_reviews", f"""
+SELECT * EXCLUDE (business_total_useful_votes) REPLACE (CAST(business_id AS VARCHAR) AS business_id)
+FROM ({_business_stats("order_reviews")})"""),
     }
 
 

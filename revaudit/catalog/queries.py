@@ -10,7 +10,9 @@ from pyspark.sql import types as T
 
 from revaudit.catalog.tables import order_reviews, reviews, reviews_dup, table
 from revaudit.functions.text import sentiment_label
-from revaudit.operators import anomaly, bias, clean, duplicates, features, generate, validate
+from revaudit.operators import (
+    anomaly, bias, clean, duplicates, features, generate, parts, partsketches, validate,
+)
 from revaudit.operators.facts import facts
 from revaudit.operators.scratch import new_path, settle
 from revaudit.plans.report import bias_report
@@ -376,6 +378,53 @@ _on("missing_patterns", reviews, anomaly.missing_patterns)
 _on("anomaly_alert", reviews_dup, anomaly.anomaly_alert)
 _on("anomaly_report", reviews_dup, lambda df: facts(anomaly.anomaly_report(df)))
 
+# Reports by parts.
+
+
+def _streamed_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The state after three batches of a stream, of which the second is run again."""
+    base = new_path(spark, "live-reviews")
+    source = reviews(spark, sf_dir)
+    batches = [source.filter(F.pmod(F.xxhash64("user_id"), F.lit(3)) == i) for i in range(3)]
+    for batch in batches:
+        batch.write.mode("append").parquet(f"{base}/in")
+        live = spark.readStream.schema(source.schema).parquet(f"{base}/in")
+        parts.report_stream(live, f"{base}/state").awaitTermination()
+    parts.add_part(batches[1], f"{base}/state", "b000000000001")
+    return parts.merged(parts.stored_states(spark, f"{base}/state"))
+
+
+def _yearly_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The state of the orders, each year's added as a part."""
+    path = new_path(spark, "order-state")
+    orders = order_reviews(spark, sf_dir)
+    first, last = orders.select(F.min(F.year("date")), F.max(F.year("date"))).first()
+    for year in range(first, last + 1) if first is not None else ():
+        parts.add_part(orders.filter(F.year("date") == year), path, str(year))
+    return parts.merged(parts.stored_states(spark, path))
+
+
+_on("stream_column_checks", _streamed_state, parts.column_checks)
+_on("stream_rating_distribution", _streamed_state, parts.rating_shares)
+_on("stream_rating_summary", _streamed_state, parts.rating_moments)
+_on("stream_category_bias", _streamed_state, lambda s: parts.category_moments(s, "business_category"))
+_on("parts_monthly_trend_orders", _yearly_state, parts.month_moments)
+_on("parts_business_stats_orders", _yearly_state, parts.business_moments)
+
+
+@_query("sketched_events")
+def _sketched_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quartiles of the values and the number of users, from one sketch of each event type."""
+    events = table(spark, sf_dir, "events")
+    stored = settle(
+        partsketches.sketch_parts(events, ["event_type"], ["value"], ["user_id"]), "event-sketches"
+    )
+    return partsketches.united(stored).select(
+        *[partsketches.quantile("value", p).alias(f"value_{p}") for p in (0.25, 0.5, 0.75)],
+        partsketches.distinct("user_id").alias("users"),
+    )
+
+
 # The whole job.
 
 
@@ -418,3 +467,10 @@ def _job_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.text(f"{_job_output(spark, sf_dir, 'anomalies')}/anomalies").select(
         *[F.get_json_object(document, at).alias(name) for name, at in asked.items()]
     )
+
+
+@_query("job_outliers")
+def _job_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The outlier rows that the job writes, each with the tests that found it."""
+    found = spark.read.parquet(f"{_job_output(spark, sf_dir, 'anomalies')}/outliers")
+    return found.select("review_id", "user_id", *anomaly.NUMERIC_COLUMNS, "found_by")
