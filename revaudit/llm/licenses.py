@@ -42,6 +42,20 @@ TEMPLATES = [
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
 ]
 
+# Fixed texts: whole licences, without their copyright lines.
+TEMPLATES += [
+    ("MIT", "MIT License Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."),
+    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."),
+]
+
+# Short identifier lines, one for each licence; the GNU licences have two more forms.
+_NAMES = sorted({name for name, _ in TEMPLATES})
+TEMPLATES += [
+    (name, f"SPDX-License-Identifier: {name}{form}")
+    for name in _NAMES
+    for form in (("", "-only", "-or-later") if "GPL" in name else ("",))
+]
+
 #: A candidate line has one of these fixed words; no template is without.
 MARKS = r"(?i)licen[sc]|copyright|permission|redistribut|public domain|free software|mozilla"
 LINE_THRESHOLD = 0.8
@@ -67,37 +81,31 @@ def template_table(spark: SparkSession) -> DataFrame:
 
 
 def candidates(files: DataFrame) -> DataFrame:
-    """doc_id, path, words (of the whole text), line: one row for each candidate line."""
+    """doc_id, path, line: one row for each candidate line."""
     return (
         files.where(F.col("text").rlike(MARKS))
-        .select("doc_id", "path", F.size(terms(F.col("text"))).cast("long").alias("words"), F.explode(F.split("text", "\n")).alias("line"))
+        .select("doc_id", "path", F.explode(F.split("text", "\n")).alias("line"))
         .where(F.col("line").rlike(MARKS))
     )
 
 
-def weighted_templates(spark: SparkSession, lines: DataFrame | None = None) -> DataFrame:
+def file_words(files: DataFrame) -> DataFrame:
+    """doc_id, term, tf, words: every word of each whole text that has a candidate line."""
+    marked = files.where(F.col("text").rlike(MARKS)).select("doc_id", F.explode(terms(F.col("text"))).alias("term"))
+    counted = marked.groupBy("doc_id", "term").agg(F.count("*").alias("tf"))
+    return counted.withColumn("words", F.sum("tf").over(Window.partitionBy("doc_id")))
+
+
+def weighted_templates(spark: SparkSession) -> DataFrame:
     """term, idf, rest (idf of unknown words) and the (template, licence, share) that use the term.
 
     share is the term's part of the template's unit vector. The table has a row for each word of the fixed
-    templates. Words are counted over the templates; with `lines` (line, times) over these instead.
+    templates, over which the words are counted.
     """
     templates = template_table(spark)
-    vocabulary = templates.select("term").distinct()
-    if lines is None:
-        counts = templates.groupBy("term").agg(F.count("*").alias("df"))
-        total = templates.agg(F.count_distinct("template").alias("n"))
-    else:
-        found = lines.select("times", F.explode(F.array_distinct(terms(F.col("line")))).alias("term"))
-        counts = found.join(F.broadcast(vocabulary), "term", "left_semi").groupBy("term").agg(F.sum("times").alias("df"))
-        total = lines.agg(F.coalesce(F.sum("times"), F.lit(0)).alias("n"))
-    idf = (
-        vocabulary.join(counts, "term", "left")
-        .crossJoin(F.broadcast(total))
-        .select(
-            "term",
-            (F.log((1 + F.col("n")) / (1 + F.coalesce("df", F.lit(0)))) + 1).alias("idf"),
-            (F.log(1 + F.col("n")) + 1).alias("rest"),
-        )
+    total = F.lit(float(len(TEMPLATES)))
+    idf = templates.groupBy("term").agg(
+        (F.log((1 + total) / (1 + F.count("*"))) + 1).alias("idf"), (F.log(1 + total) + 1).alias("rest")
     )
     weight = F.col("tf") * F.col("idf")
     whole = Window.partitionBy("template")
@@ -151,20 +159,19 @@ def directory_of(path: Column) -> Column:
     return F.regexp_replace(F.regexp_extract(path, r"^(.*)/", 1), "^/+", "")
 
 
-def scan(files: DataFrame, corpus_weights: bool = False) -> DataFrame:
+def scan(files: DataFrame) -> DataFrame:
     """doc_id, path, header_licence, header_cosine, file_licence, file_cosine, licence, found_in.
 
     `files` has doc_id, path and text; other columns are not read. Paths are `/`-separated; a null
     path has no directory. One row comes out for each row; rows of one doc_id count as one file and
     rows without doc_id are not scanned. found_in is `file`, `header`, `directory` or null, when there is
     no licence. A null or empty text has no lines. Of several licences the closest counts, then the
-    lowest name. An empty table gives an empty one. With `corpus_weights` words are weighted by the files'
-    candidate lines, which loses licences that many files have.
+    lowest name. An empty table gives an empty one. A file is judged by all words of its whole text.
     """
     files = files.select("doc_id", "path", "text")
     found = settle(candidates(files.where("doc_id is not null")), "licence-lines")
-    lines = settle(found.groupBy("line").agg(F.count("*").alias("times")), "licence-distinct-lines")
-    weighted = settle(weighted_templates(files.sparkSession, lines if corpus_weights else None), "licence-weights")
+    lines = settle(found.select("line").distinct(), "licence-distinct-lines")
+    weighted = settle(weighted_templates(files.sparkSession), "licence-weights")
 
     by_line = lines.select("line", terms(F.col("line")).alias("all")).select(
         "line", F.size("all").cast("long").alias("words"), F.explode("all").alias("term")
@@ -173,8 +180,7 @@ def scan(files: DataFrame, corpus_weights: bool = False) -> DataFrame:
     close = _closest(by_line, weighted, "line").where(F.col("cosine") >= LINE_THRESHOLD)
     headers = _best(found.select("doc_id", "line").join(close, "line"), "doc_id")
 
-    by_file = found.select("doc_id", "words", F.explode(terms(F.col("line"))).alias("term"))
-    by_file = by_file.groupBy("doc_id", "term").agg(F.count("*").alias("tf"), F.max("words").alias("words"))
+    by_file = file_words(files.where("doc_id is not null"))
     whole = _closest(by_file, weighted, "doc_id").where(F.col("cosine") >= FILE_THRESHOLD)
     whole = settle(whole, "licence-files")
 

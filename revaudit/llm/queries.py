@@ -64,8 +64,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # the query's SQL weighs words by the scanned corpus
-    return licenses.scan(licenses.document_files(table(spark, sf_dir, "documents")), corpus_weights=True)
+    return licenses.scan(licenses.document_files(table(spark, sf_dir, "documents")))
 
 
 def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -213,14 +212,10 @@ WITH files AS (
   FROM (SELECT template, licence, unnest({_TERMS.format('body')}) AS term
         FROM (VALUES {bodies}) AS v(template, licence, body)) GROUP BY ALL
 ), found AS (
-  SELECT doc_id, words, line FROM (
-    SELECT doc_id, len({_TERMS.format('text')}) AS words, unnest(string_split(text, chr(10))) AS line FROM files
-  ) WHERE {marked}
-), df AS (
-  SELECT term, count(*) AS df FROM (SELECT unnest(list_distinct({_TERMS.format('line')})) AS term FROM found) GROUP BY term
+  SELECT doc_id, line FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM files) WHERE {marked}
 ), idf AS (
-  SELECT v.term, ln((1 + n) / (1 + coalesce(df, 0))) + 1 AS idf, ln(1 + n) + 1 AS rest
-  FROM (SELECT DISTINCT term FROM tf) v LEFT JOIN df ON v.term = df.term, (SELECT count(*) AS n FROM found)
+  SELECT term, ln((1 + max(n)) / (1 + count(*))) + 1 AS idf, ln(1 + max(n)) + 1 AS rest
+  FROM tf, (SELECT count(DISTINCT template) AS n FROM tf) GROUP BY term
 ), shares AS (
   SELECT template, licence, tf.term,
          tf * idf / sqrt(sum(tf * idf * tf * idf) OVER (PARTITION BY template)) AS share
@@ -231,7 +226,8 @@ WITH files AS (
         FROM (SELECT DISTINCT line FROM found)) GROUP BY line, term
   UNION ALL
   SELECT 'F' || doc_id, term, count(*), max(words)
-  FROM (SELECT doc_id, words, unnest({_TERMS.format('line')}) AS term FROM found) GROUP BY doc_id, term
+  FROM (SELECT doc_id, len({_TERMS.format('text')}) AS words, unnest({_TERMS.format('text')}) AS term
+        FROM files WHERE regexp_matches(text, '{licenses.MARKS}')) GROUP BY doc_id, term
 ), known AS (
   SELECT c.key, c.term, c.tf, c.words, idf, rest FROM counted c JOIN idf ON c.term = idf.term
 ), norms AS (

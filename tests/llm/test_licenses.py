@@ -13,6 +13,7 @@ from revaudit.llm import licenses, queries
 from revaudit.llm.common import table
 
 MIT = "Released under the MIT License."
+SCHEMA = "doc_id long, path string, text string"
 GPL = "This work is licensed under the GNU General Public License, version 3."
 
 
@@ -24,11 +25,11 @@ def brute(files: dict[int, tuple[str, str]]) -> dict[int, tuple]:
     """licence and found_in of each file."""
     marked = re.compile(licenses.MARKS)
     lines = {i: [x for x in (t or "").split("\n") if marked.search(x)] for i, (_, t) in files.items()}
-    every = [x for own in lines.values() for x in own]
-    vocabulary = {w for _, t in licenses.TEMPLATES for w in terms(t)}
-    df = Counter(w for x in every for w in set(terms(x)) & vocabulary)
-    idf = {w: math.log((1 + len(every)) / (1 + df[w])) + 1 for w in vocabulary}
-    rest = math.log(1 + len(every)) + 1
+    n_templates = len(licenses.TEMPLATES)
+    df = Counter(w for _, t in licenses.TEMPLATES for w in set(terms(t)))
+    vocabulary = set(df)
+    idf = {w: math.log((1 + n_templates) / (1 + n)) + 1 for w, n in df.items()}
+    rest = math.log(1 + n_templates) + 1
 
     def closest(own: list[str], total: int, least: float):
         tf = Counter(w for w in own if w in vocabulary)
@@ -46,7 +47,7 @@ def brute(files: dict[int, tuple[str, str]]) -> dict[int, tuple]:
     for i, (path, text) in files.items():
         found = [b for x in lines[i] if (b := closest(terms(x), len(terms(x)), licenses.LINE_THRESHOLD))]
         header[i] = min(found, default=None)
-        own = [w for x in lines[i] for w in terms(x)]
+        own = terms(text) if lines[i] else []
         whole[i] = closest(own, len(terms(text or "")), licenses.FILE_THRESHOLD) if own else None
         if whole[i]:
             directory = path.rpartition("/")[0]
@@ -145,3 +146,36 @@ def test_verdict_does_not_depend_on_copies(spark, text):
 
     one = verdict(1)
     assert one[0]["found_in"] == "file" and verdict(100_000) == one
+
+
+def whole_text(name):
+    """The longest template of a licence, in lines of eight words."""
+    words = max((text for n, text in licenses.TEMPLATES if n == name), key=len).split()
+    return "\n".join(" ".join(words[i : i + 8]) for i in range(0, len(words), 8))
+
+
+def test_whole_licence_files_and_identifier_lines(spark):
+    files = [
+        (1, "a/LICENSE", "Copyright (c) 2021 Some Person\n\n" + whole_text("MIT")),
+        (2, "a/src/x.c", "int main;"),
+        (3, "b/LICENSE", "Copyright (c) 2020, Some Owner\nAll rights reserved.\n" + whole_text("BSD-3-Clause")),
+        (4, "c/x.py", "# SPDX-License-Identifier: MIT\nimport os"),
+        (5, "c/y.py", "// SPDX-License-Identifier: GPL-3.0-or-later\nint x"),
+        (6, "e/z.py", "# SPDX-License-Identifier: Zlib\nint z"),
+        (7, "d/essay.txt", "The permission to enter was given to the person who asked for it, without limitation of time."),
+    ]
+    rows = {r["doc_id"]: r for r in licenses.scan(spark.createDataFrame(files, SCHEMA)).collect()}
+    assert (rows[1]["file_licence"], rows[1]["found_in"]) == ("MIT", "file")
+    assert (rows[2]["licence"], rows[2]["found_in"]) == ("MIT", "directory")
+    assert rows[3]["file_licence"] == "BSD-3-Clause"
+    assert [rows[i]["header_licence"] for i in (4, 5, 6, 7)] == ["MIT", "GPL-3.0", None, None]
+    assert rows[6]["licence"] is None and rows[7]["licence"] is None
+
+
+def test_a_verdict_does_not_depend_on_the_neighbours(spark):
+    one = [(1, "a/LICENSE", "Copyright (c) 2021 Some Person\n" + whole_text("MIT"))]
+    alone = licenses.scan(spark.createDataFrame(one, SCHEMA)).first()
+    copies = spark.range(2, 20_002).selectExpr("id AS doc_id", "concat('z/', id) AS path").withColumn("text", F.lit(one[0][2]))
+    among = licenses.scan(spark.createDataFrame(one, SCHEMA).unionByName(copies)).where("doc_id = 1").first()
+    assert alone["file_cosine"] == among["file_cosine"] >= licenses.FILE_THRESHOLD
+    assert alone["licence"] == among["licence"] == "MIT"
