@@ -986,6 +986,9 @@ SELECT CAST(total_outliers AS VARCHAR) AS total_outliers,
 FROM ({_alert_row('clean_dup', _CLEAN_COLUMNS)})"""),
         "job_bias": _with("clean_dup", _bias_analysis("clean_dup")),
         "job_outliers": _with("clean_dup", _outlier_rows("clean_dup")),
+        "sketched_events": """
+SELECT CAST(share AS DOUBLE) AS share, count(value) AS n, true AS within
+FROM events, (VALUES (0.25), (0.5), (0.75)) AS v(share) GROUP BY share""",
         "stream_column_checks": _with("reviews", _column_checks("reviews")),
         "stream_rating_distribution": _with("reviews", f"""
 SELECT CAST(rating AS DOUBLE) AS rating, share FROM ({_rating_distribution("reviews")})"""),

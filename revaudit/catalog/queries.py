@@ -15,6 +15,7 @@ from revaudit.operators import (
 )
 from revaudit.operators.facts import facts
 from revaudit.operators.scratch import new_path, settle
+from revaudit.operators.subquery import with_scalar
 from revaudit.plans.report import bias_report
 from revaudit.plans.review_job import STAGES, process
 from revaudit.settings import Settings
@@ -414,15 +415,21 @@ _on("parts_business_stats_orders", _yearly_state, parts.business_moments)
 
 @_query("sketched_events")
 def _sketched_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Quartiles of the values and the number of users, from one sketch of each event type."""
+    """Whether quartiles from one sketch of each event type lie within twice their bound of the exact ranks."""
     events = table(spark, sf_dir, "events")
-    stored = settle(
-        partsketches.sketch_parts(events, ["event_type"], ["value"], ["user_id"]), "event-sketches"
-    )
-    return partsketches.united(stored).select(
-        *[partsketches.quantile("value", p).alias(f"value_{p}") for p in (0.25, 0.5, 0.75)],
-        partsketches.distinct("user_id").alias("users"),
+    stored = settle(partsketches.sketch_parts(events, ["event_type"], ["value"]), "event-sketches")
+    shares = (0.25, 0.5, 0.75)
+    found = partsketches.united(stored).select(
+        *[partsketches.quantile("value", p).alias(f"q{i}") for i, p in enumerate(shares)]
     )
+    value, bound = F.col("value"), 2 * partsketches.RANK_ERROR
+    cells = []
+    for i, p in enumerate(shares):
+        below, upto = (F.avg(test.cast("double")) for test in (value < F.col(f"cuts.q{i}"), value <= F.col(f"cuts.q{i}")))
+        within = (below - bound <= p) & (upto + bound >= p)
+        cells.append(F.struct(F.lit(p).alias("share"), F.count("value").alias("n"), within.alias("within")))
+    checked = with_scalar(events, "cuts", found).agg(F.array(*cells).alias("rows"))
+    return checked.select(F.inline("rows"))
 
 
 # The whole job.
