@@ -2,7 +2,7 @@
 
 The symbols of all distinct words of a batch lie in one array. In each round the ranks of all neighbouring
 pairs are found by binary search over the sorted pair keys, and every word merges its pair of
-lowest rank, the leftmost of equals. Words without a pair to merge leave the array.
+lowest rank. Words without a pair to merge leave the array; words of all lengths go the same way (see `rounds`).
 
 The tokenizer file must be a lower-casing byte-level BPE with word ends, without post-processing and
 decoder; others are refused. Its special strings are tokens of their own wherever a text has them.
@@ -10,7 +10,6 @@ decoder; others are refused. Its special strings are tokens of their own whereve
 
 from __future__ import annotations
 
-import heapq
 import json
 import re
 import unicodedata
@@ -24,12 +23,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revaudit.llm.common import slices
+from revaudit.llm.rounds import Pairs, merge, pair_table
 from revaudit.llm.words import lists, text_bytes
 
-_NEVER = 1 << 30
-#: Words of more bytes than this are merged one by one with a heap, which takes n log n steps.
-LONG = 64
-
 _BLANK = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 #: Characters whose case, form and kind no version of Unicode has changed; others go to the file's own rules.
 _PLAIN = re.compile("[\\x00-\\u024f\\u2010-\\u2027\\u2030-\\u205e]*")
@@ -54,15 +50,9 @@ class Tokenizer:
     special: dict[str, int]
     first: np.ndarray  # byte to symbol inside a word
     last: np.ndarray  # byte to symbol at a word's end
-    pairs: np.ndarray  # left * symbols + right, ascending
-    rank: np.ndarray
-    merged: np.ndarray
+    pairs: Pairs
     names: np.ndarray  # the string of each id
 
-    @property
-    def symbols(self) -> int:
-        return len(self.names)
-
 
 def byte_letters() -> dict[int, str]:
     """The character that byte-level tokenizers write for each byte: printable ones stand for themselves,
@@ -93,14 +83,18 @@ def read_tokenizer(path: str) -> Tokenizer:
     for name, i in [*vocabulary.items(), *special.items()]:
         names[i] = name
     letters = byte_letters()
-    rows = sorted(
-        (vocabulary[a] * len(names) + vocabulary[b], rank, vocabulary[a + b]) for rank, (a, b) in enumerate(model["merges"])
-    )
-    pairs, rank, merged = (np.array(x) for x in zip(*rows, strict=True))
+    rows = [(vocabulary[a], vocabulary[b], rank, vocabulary[a + b]) for rank, (a, b) in enumerate(model["merges"])]
+    begin, last = np.full(len(names), -1), np.full(len(names), -1)
+    for name, i in vocabulary.items():
+        spelled = name.removesuffix(end)
+        if spelled and set(spelled) <= set(letters.values()):
+            closing = end if len(spelled) < len(name) else ""
+            begin[i] = vocabulary[spelled[0] + (closing if len(spelled) == 1 else "")]
+            last[i] = vocabulary[spelled[-1] + closing]
     return Tokenizer(
         path, split[0]["pattern"]["Regex"], special,
         np.array([vocabulary[letters[b]] for b in range(256)]), np.array([vocabulary[letters[b] + end] for b in range(256)]),
-        pairs, rank, merged, names,
+        pair_table(len(names), rows, begin, last), names,
     )
 
 
@@ -131,7 +125,7 @@ class Splitter:
 
     def split(self, text: str) -> tuple[list[str], list[int]]:
         """The words, and the places among them that are special strings."""
-        if self._special is None or "<" not in text or not self._special.search(text):
+        if self._special is None or not self._special.search(text):
             return self._segment(text), []
         words: list[str] = []
         places = []
@@ -144,73 +138,12 @@ class Splitter:
         return words, places
 
 
-def _ranks(left: np.ndarray, right: np.ndarray, t: Tokenizer) -> tuple[np.ndarray, np.ndarray]:
-    key = left * t.symbols + right
-    at = np.minimum(np.searchsorted(t.pairs, key), len(t.pairs) - 1)
-    hit = t.pairs[at] == key
-    return np.where(hit, t.rank[at], _NEVER), t.merged[at]
-
-
-def _merge_long(symbols: list[int], t: Tokenizer) -> list[int]:
-    n = len(symbols)
-    after, before, alive = list(range(1, n + 1)), list(range(-1, n - 1)), [True] * n
-    heap: list[tuple[int, int, int, int, int]] = []
-
-    def push(i: int, j: int) -> None:
-        rank, merged = _ranks(np.array([symbols[i]]), np.array([symbols[j]]), t)
-        if rank[0] < _NEVER:
-            heapq.heappush(heap, (int(rank[0]), i, symbols[i], symbols[j], int(merged[0])))
-
-    for i in range(n - 1):
-        push(i, i + 1)
-    while heap:
-        _, i, a, b, merged = heapq.heappop(heap)
-        j = after[i] if alive[i] else n
-        if j >= n or symbols[i] != a or symbols[j] != b:
-            continue
-        symbols[i], alive[j], after[i] = merged, False, after[j]
-        if after[j] < n:
-            before[after[j]] = i
-            push(i, after[j])
-        if before[i] >= 0:
-            push(before[i], i)
-    return [s for s, a in zip(symbols, alive, strict=True) if a]
-
-
 def merge_words(words: pa.Array, t: Tokenizer) -> tuple[np.ndarray, np.ndarray]:
     """The ids of all words, one after the other, and how many each has. No word is empty."""
     data, bounds = text_bytes(words)
     symbols = t.first[data]
     symbols[bounds[1:] - 1] = t.last[data[bounds[1:] - 1]]
-    sizes = np.diff(bounds)
-    done: list[tuple[np.ndarray, np.ndarray]] = []  # word and id of finished symbols, in order within a word
-    long = np.flatnonzero(sizes > LONG)
-    for i in long:
-        ids = _merge_long(symbols[bounds[i] : bounds[i + 1]].tolist(), t)
-        done.append((np.full(len(ids), i), np.array(ids)))
-    word = np.repeat(np.arange(len(sizes)), sizes)
-    short = (sizes <= LONG)[word]
-    word, symbols = word[short], symbols[short]
-    while len(word):
-        rank, merged = _ranks(symbols[:-1], symbols[1:], t)
-        rank[word[1:] != word[:-1]] = _NEVER
-        rank, merged = np.append(rank, _NEVER), np.append(merged, 0)
-        starts = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
-        runs = np.diff(np.append(starts, len(word)))
-        lowest = np.minimum.reduceat(rank, starts)
-        more = np.repeat(lowest < _NEVER, runs)
-        if not more.all():
-            done.append((word[~more], symbols[~more]))
-        at = np.flatnonzero((rank == np.repeat(lowest, runs)) & more)
-        if len(at):
-            at = at[np.concatenate([[True], word[at][1:] != word[at][:-1]])]
-            symbols[at] = merged[at]
-            more[at + 1] = False
-        word, symbols = word[more], symbols[more]
-    if not done:
-        return np.zeros(0, np.int64), np.zeros(len(sizes), np.int64)
-    word, ids = (np.concatenate(x) for x in zip(*done, strict=True))
-    return ids[np.argsort(word, kind="stable")], np.bincount(word, minlength=len(sizes))
+    return merge(symbols, np.diff(bounds), t.pairs)
 
 
 def gather(ids: np.ndarray, counts: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -1,13 +1,12 @@
 """Token counts by rank-synchronous merging of ragged arrays of symbols, and the vocabulary of a piece model.
 
 Pre-tokens, the stretches of a text that no merge crosses, are held as one ragged array of symbols. In each
-round every pre-token merges its pair of lowest rank, the leftmost of equals, all at once; the
-symbols that survive are its tokens. Each distinct pre-token of a batch is merged once.
+round every pre-token merges its pair of lowest rank, all at once (see `rounds`); the symbols that
+survive are its tokens. Each distinct pre-token of a batch is merged once, however long it is.
 """
 
 from __future__ import annotations
 
-import heapq
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -19,36 +18,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revaudit.llm.common import slices
+from revaudit.llm.rounds import Pairs, merge, pair_table
 from revaudit.llm.words import text_bytes
 
 MOST_TOKENS = 4096
 
 _SPACE = "▁"
-_NEVER = np.int32(1 << 30)
-#: Pre-tokens of more symbols than this are merged one by one with a heap, which takes n log n steps.
-LONG = 64
-
 
 @dataclass
 class Vocabulary:
     """Symbols are numbers: those of single characters first, then those of longer pieces."""
 
     character: np.ndarray  # code point to symbol, -1 for characters without one
-    cost: np.ndarray  # tokens of a surviving symbol; 1 for all pieces
-    pairs: np.ndarray  # left * symbols + right, ascending
-    rank: np.ndarray  # of each pair; lower merges first
-    merged: np.ndarray  # the symbol that each pair becomes
-
-    @property
-    def symbols(self) -> int:
-        return len(self.cost)
-
-    def look_up(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The rank and the product of each pair; symbols below 0 merge with nothing."""
-        key = left.astype(np.int64) * self.symbols + right
-        at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
-        hit = (self.pairs[at] == key) & (left >= 0) & (right >= 0)
-        return np.where(hit, self.rank[at], _NEVER), np.where(hit, self.merged[at], -1)
+    pairs: Pairs
 
 
 def read_pieces(path: str) -> Vocabulary:
@@ -72,80 +54,14 @@ def read_pieces(path: str) -> Vocabulary:
             character[ord(piece)] = number[piece]
     character[ord(" ")] = character[ord(_SPACE)]  # the model writes a space as this sign
     order = {score: i for i, score in enumerate(sorted(set(pieces.values()), reverse=True))}
-    rows = sorted(
-        (number[p[:k]] * len(names) + number[p[k:]], order[pieces[p]], number[p])
+    rows = [
+        (number[p[:k]], number[p[k:]], order[pieces[p]], number[p])
         for p in names
         for k in range(1, len(p))
         if p[:k] in number and p[k:] in number
-    )
-    pairs, rank, merged = (np.array(x) for x in zip(*rows, strict=True))
-    return Vocabulary(character, np.ones(len(names), np.int64), pairs, rank.astype(np.int32), merged.astype(np.int32))
-
-
-def _merge_one(symbols: list[int], vocabulary: Vocabulary) -> int:
-    """The number of symbols left of one long pre-token, whose symbols all are known or -1."""
-    n = len(symbols)
-    after, before, alive = list(range(1, n + 1)), list(range(-1, n - 1)), [True] * n
-    ranks, products = vocabulary.look_up(np.array(symbols[:-1]), np.array(symbols[1:]))
-    heap = [(int(r), i, symbols[i], symbols[i + 1], int(p)) for i, (r, p) in enumerate(zip(ranks, products, strict=True)) if r < _NEVER]
-    heapq.heapify(heap)
-    left = n
-
-    def push(i: int, j: int) -> None:
-        r, p = vocabulary.look_up(np.array([symbols[i]]), np.array([symbols[j]]))
-        if r[0] < _NEVER:
-            heapq.heappush(heap, (int(r[0]), i, symbols[i], symbols[j], int(p[0])))
-
-    while heap:
-        _, i, a, b, product = heapq.heappop(heap)
-        j = after[i] if alive[i] else n
-        if j >= n or symbols[i] != a or symbols[j] != b:
-            continue
-        symbols[i], alive[j] = product, False
-        after[i] = after[j]
-        if after[j] < n:
-            before[after[j]] = i
-            push(i, after[j])
-        if before[i] >= 0:
-            push(before[i], i)
-        left -= 1
-    return left
-
-
-def _merge_short(symbols: np.ndarray, vocabulary: Vocabulary) -> np.ndarray:
-    """The number of symbols left of each row; rows are filled up with -1 on the right."""
-    rows, width = symbols.shape
-    left = np.zeros(rows, np.int64)
-    rank, product = (x.reshape(rows, width - 1) for x in vocabulary.look_up(symbols[:, :-1].ravel(), symbols[:, 1:].ravel()))
-    row = np.arange(rows)
-    merges = np.zeros(rows, np.int64)
-    while len(row):
-        at = rank.argmin(axis=1)
-        own = np.arange(len(row))
-        more = rank[own, at] < _NEVER
-        if not more.all():
-            left[row[~more]] = merges[~more]
-            symbols, rank, product, row, merges, at = (x[more] for x in (symbols, rank, product, row, merges, at))
-            own = np.arange(len(row))
-            if not len(row):
-                break
-        # the pair's product takes its place, all behind move up by one
-        symbols[own, at] = product[own, at]
-        place = np.arange(symbols.shape[1] - 1)
-        behind = place[None, :] > at[:, None]
-        symbols[:, :-1] = np.where(behind, symbols[:, 1:], symbols[:, :-1])
-        symbols[:, -1] = -1
-        behind = behind[:, :-1] | (place[None, :-1] >= at[:, None])
-        rank[:, :-1] = np.where(behind, rank[:, 1:], rank[:, :-1])
-        product[:, :-1] = np.where(behind, product[:, 1:], product[:, :-1])
-        rank[:, -1] = _NEVER
-        for pair in (at, at - 1):
-            some = np.flatnonzero((pair >= 0) & (pair < rank.shape[1]))
-            where = pair[some]
-            r, p = vocabulary.look_up(symbols[some, where], symbols[some, where + 1])
-            rank[some, where], product[some, where] = r, p
-        merges += 1
-    return left
+    ]
+    begin, end = (character[[ord(p[k]) for p in names]] for k in (0, -1))
+    return Vocabulary(character, pair_table(len(names), rows, begin, end))
 
 
 def count_tokens(pretokens: pa.Array, vocabulary: Vocabulary) -> np.ndarray:
@@ -153,23 +69,10 @@ def count_tokens(pretokens: pa.Array, vocabulary: Vocabulary) -> np.ndarray:
     data, bounds = text_bytes(pretokens)
     points = np.frombuffer(data.tobytes().decode().encode("utf-32-le"), np.uint32)
     firsts = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])[bounds]
-    sizes, ends = np.diff(firsts), firsts[1:]
     symbols = vocabulary.character[points]
     extra = np.where(symbols < 0, (points > 0x7F).astype(np.int64) + (points > 0x7FF) + (points > 0xFFFF), 0)
-    tokens = sizes + np.diff(np.concatenate([[0], np.cumsum(extra)])[firsts])
-    for low, high in ((2, 4), (5, 8), (9, 12), (13, 20), (21, LONG)):
-        rows = np.flatnonzero((sizes >= low) & (sizes <= high))
-        for part in np.array_split(rows, max(1, len(rows) * high // 200_000)):
-            if len(part):
-                width = int(sizes[part].max())
-                place = np.arange(width)
-                inside = place[None, :] < sizes[part][:, None]
-                index = np.minimum((ends - sizes)[part][:, None] + place, len(symbols) - 1)
-                tokens[part] -= _merge_short(np.where(inside, symbols[index], -1), vocabulary)
-    for i in np.flatnonzero(sizes > LONG):
-        own = symbols[ends[i] - sizes[i] : ends[i]].tolist()
-        tokens[i] -= len(own) - _merge_one(own, vocabulary)
-    return tokens
+    _, left = merge(symbols, np.diff(firsts), vocabulary.pairs)
+    return left + np.diff(np.concatenate([[0], np.cumsum(extra)])[firsts])
 
 
 def pretokens(column: pa.Array) -> tuple[pa.Array, np.ndarray]:

@@ -12,7 +12,7 @@ import sentencepiece
 from tokenizers import Tokenizer
 
 from helpers import documents, odd_documents
-from revaudit.llm import bpe, merging, queries
+from revaudit.llm import bpe, merging, queries, rounds
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -46,15 +46,56 @@ def test_counts_equal_library(spark, strange):
         assert (r["n_tokens"], r["n_bytes"], r["over_limit"]) == (n, len(text.encode()), n > 50), repr(text)
 
 
-def test_long_and_short_pretokens_merge_alike():
-    vocabulary = merging.read_pieces(PIECES)
-    rng = random.Random(2)
-    for _ in range(40):
-        symbols = vocabulary.character[[ord(c) for c in rng.choices("theingro", k=rng.randint(2, 60))]]
-        rows = np.full((2, 60), -1)
-        rows[0, : len(symbols)] = rows[1, : len(symbols)] = symbols
-        merges = merging._merge_short(rows, vocabulary)
-        assert merges.tolist() == [len(symbols) - merging._merge_one(symbols.tolist(), vocabulary)] * 2
+def one_at_a_time(symbols: list[int], rows: list[tuple[int, int, int, int]]) -> list[int]:
+    """The leftmost pair of the lowest rank merges until there is none."""
+    table = {(a, b): (rank, product) for a, b, rank, product in rows}
+    symbols = list(symbols)
+    while True:
+        found = [(*table[p], i) for i, p in enumerate(zip(symbols, symbols[1:])) if p in table]
+        if not found:
+            return symbols
+        _, product, i = min(found, key=lambda x: (x[0], x[2]))
+        symbols[i : i + 2] = [product]
+
+
+@pytest.mark.parametrize("seed", range(60))
+def test_rounds_equal_one_merge_at_a_time(seed, monkeypatch):
+    """Tables in any order: products may be in pairs of lower or equal rank, or made in several ways."""
+    rng = random.Random(seed)
+    names = ["a", "b", "c"]
+    rows: dict[tuple[int, int], tuple[int, int, int, int]] = {}
+    for _ in range(rng.randint(0, 25)):
+        a, b = rng.randrange(len(names)), rng.randrange(len(names))
+        if len(names[a] + names[b]) > 6:
+            continue
+        if names[a] + names[b] not in names:
+            names.append(names[a] + names[b])
+        rows[a, b] = (a, b, rng.randrange(12), names.index(names[a] + names[b]))
+    begin, end = (np.array([names.index(n[k]) for n in names]) for k in (0, -1))
+    pairs = rounds.pair_table(len(names), list(rows.values()), begin, end)
+    monkeypatch.setattr(rounds, "_BLOCK", 50)
+    words = [[rng.choice([0, 0, 1, 2, -1]) for _ in range(rng.choice([1, 2, 7, 40, 200]))] for _ in range(30)]
+    left, counts = rounds.merge(np.array(sum(words, [])), np.array([len(w) for w in words]), pairs)
+    want = [one_at_a_time(w, list(rows.values())) for w in words]
+    assert counts.tolist() == [len(w) for w in want] and left.tolist() == sum(want, [])
+
+
+def test_texts_without_blanks_equal_libraries(spark):
+    rng = random.Random(5)
+    han = [chr(c) for c in range(0x4E00, 0x9FA0)]
+    texts = {
+        1: "".join(rng.choices("etaoinshrdlu", k=20_000)),
+        2: "".join(rng.choices(han[:400], k=8_000)),
+        3: "".join(rng.choices(han, k=8_000)) + "。" * 999,
+        4: "the" * 9_000 + "x" * 20_001,
+        5: "".join(rng.choices("ABCDEFabcdef+/", k=20_000)),
+        6: "<|endoftext|>".join(["ab" * 400] * 5),
+    }
+    pieces, library = sentencepiece.SentencePieceProcessor(model_file=PIECES), Tokenizer.from_file(WORDS)
+    counted = {r["doc_id"]: r["n_tokens"] for r in merging.token_counts(documents(spark, texts), PIECES).collect()}
+    assert counted == {i: len(pieces.encode(t)) for i, t in texts.items()}
+    for r in bpe.encode(documents(spark, texts), WORDS).collect():
+        assert r["ids"] == library.encode(texts[r["doc_id"]], add_special_tokens=False).ids
 
 
 def test_ids_equal_library(spark, strange):
