@@ -976,6 +976,22 @@ FROM (SELECT {_RATIOS} FROM reviews)"""),
         "anomaly_alert": _with("reviews_dup", _alert_row("reviews_dup")),
         "anomaly_report": _with("reviews_dup", _anomaly_report("reviews_dup")),
         "job_summary": _with("clean_dup", _job_summary(features=True)),
+        "job_resumed": _with("clean_dup", _job_summary(features=True)),
+        "history_duplicate_counts": _with("reviews_dup", _duplicate_counts("reviews_dup")),
+        "history_repeats": _with("reviews_dup", " UNION ALL ".join(
+            f"""
+SELECT review_id, '{name}' AS duplicate_set, here AS rows_here, every - here AS rows_before FROM (
+  SELECT review_id, cool_votes, count(*) OVER (PARTITION BY {key}) AS every,
+    count(*) OVER (PARTITION BY cool_votes, {key}) AS here FROM reviews_dup)
+WHERE cool_votes = 3 AND every > 1"""
+            for name, key in (
+                ("review_id", "review_id"), ("text", "text"), ("all_columns", ", ".join(_REVIEW_COLUMNS))
+            )
+        )),
+        "stream_distinct_ids": _with("reviews_dup", """
+SELECT DISTINCT review_id, false AS undated FROM reviews_dup WHERE review_id IS NOT NULL AND date IS NOT NULL
+UNION ALL
+SELECT review_id, date IS NULL AS undated FROM reviews_dup WHERE review_id IS NULL OR date IS NULL"""),
         "job_short": _with("clean_dup", _job_summary(features=False)),
         "job_features": _with("clean_dup", _features_of("clean_dup")),
         "job_anomalies": _with("clean_dup", f"""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +12,7 @@ from pyspark.sql import types as T
 from revaudit.catalog.tables import order_reviews, reviews, reviews_dup, table
 from revaudit.functions.text import sentiment_label
 from revaudit.operators import (
-    anomaly, bias, clean, duplicates, features, generate, parts, partsketches, validate,
+    anomaly, bias, clean, duplicates, features, generate, history, parts, partsketches, validate,
 )
 from revaudit.operators.facts import facts
 from revaudit.operators.scratch import new_path, settle
@@ -21,6 +22,7 @@ from revaudit.plans.review_job import STAGES, process
 from revaudit.settings import Settings
 from revaudit.sources.readers import load_reviews, read_reviews_csv
 from revaudit.sources.writers import write_csv, write_json
+from revaudit.streaming.live import drop_repeated_ids
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -432,9 +434,49 @@ def _sketched_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checked.select(F.inline("rows"))
 
 
+def _indexed(spark: SparkSession, source: DataFrame, through: int) -> history.Index:
+    """An index of the reviews by cool votes, up to and with a number of them; the first part is added twice."""
+    index = history.open_index(spark, f"digests_{uuid.uuid4().hex}", new_path(spark, "digests"), 16)
+    for votes in (0, *range(through + 1)):
+        history.add_part(source.filter(F.col("cool_votes") == votes), index, str(votes))
+    return index
+
+
+@_query("history_duplicate_counts")
+def _history_duplicate_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return history.duplicate_counts(_indexed(spark, reviews_dup(spark, sf_dir), 3))
+
+
+@_query("history_repeats")
+def _history_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the last part that repeat an earlier part's or each other."""
+    source = reviews_dup(spark, sf_dir)
+    return history.repeats(source.filter("cool_votes = 3"), _indexed(spark, source, 2), "3")
+
+
+@_query("stream_distinct_ids")
+def _stream_distinct_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids left by a stream of three batches, which is started anew for each; the delay is longer than all dates."""
+    base, source = new_path(spark, "live-ids"), reviews_dup(spark, sf_dir).select("review_id", "date")
+    for i in range(3):
+        source.filter(F.pmod(F.xxhash64("date"), F.lit(3)) == i).write.mode("append").parquet(f"{base}/in")
+        live = spark.readStream.schema(source.schema).parquet(f"{base}/in")
+        written = drop_repeated_ids(live, "400 days").writeStream.format("parquet").outputMode("append")
+        written.option("checkpointLocation", f"{base}/notes").trigger(availableNow=True).start(f"{base}/out").awaitTermination()
+    return spark.read.parquet(f"{base}/out").select("review_id", F.col("date").isNull().alias("undated"))
+
+
 # The whole job.
 
 
+@_query("job_resumed")
+def _job_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The summary of a job that goes on after one that did the features and the bias report."""
+    path, source = new_path(spark, "review-job"), reviews_dup(spark, sf_dir)
+    process(source, path, stages=["features", "bias"], resume=True)
+    return process(source, path, resume=True)
+
+
 @_query("job_summary")
 def _job_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return process(reviews_dup(spark, sf_dir), new_path(spark, "review-job"))

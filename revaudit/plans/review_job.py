@@ -2,7 +2,8 @@
 
 The clean table is written once as Parquet; every later stage reads only the columns it needs
 from it, so no stage repeats the text cleaning and none depends on cached blocks. The later
-stages do not depend on each other and are submitted together.
+stages do not depend on each other and are submitted together. A job may go on where one with the
+same input and settings was ended.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime
+from functools import partial
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,6 +25,7 @@ from revaudit.operators.duplicates import duplicate_report
 from revaudit.operators.features import create_features
 from revaudit.operators.scratch import settle
 from revaudit.operators.validate import validation_report
+from revaudit.plans.manifest import Manifest, job_digest
 from revaudit.plans.report import render
 from revaudit.settings import Settings
 from revaudit.sources.readers import load_reviews
@@ -103,35 +106,50 @@ def process(
     out_dir: str,
     settings: Settings = Settings(),
     stages: Sequence[str] = tuple(STAGES),
+    resume: bool = False,
 ) -> DataFrame:
-    """Run the job on loaded reviews and return its one-row summary. Any failure propagates."""
+    """Run the job on loaded reviews and return its one-row summary. Any failure propagates.
+
+    With ``resume``, stages that an earlier job with ``resume`` has finished in this folder are not run again
+    if its input rows and settings were the same. That takes one more pass over the input.
+    """
     unknown = set(stages) - set(STAGES)
     if unknown:
         raise ValueError(f"Unknown stages: {sorted(unknown)}")
     spark = raw.sparkSession
     base = out_dir.rstrip("/")
-    write_parquet(preprocess(raw, settings), f"{base}/clean_reviews")
+    manifest = Manifest(spark, base, job_digest(raw, settings)) if resume else None
+    if manifest is None or manifest.found("clean") is None:
+        _noted(manifest, "clean", lambda: write_parquet(preprocess(raw, settings), f"{base}/clean_reviews") or {})
     clean = spark.read.parquet(f"{base}/clean_reviews")
     now = datetime.now().isoformat(sep=" ", timespec="seconds")
 
     summary = clean.agg(F.count(F.lit(1)).alias("clean_reviews"))
-    if not stages:
-        return summary
+    finished = {name: found for name in stages if manifest and (found := manifest.found(name)) is not None}
+    left = [name for name in stages if name not in finished]
     duplicates = None
-    if {"validation", "anomalies"} & set(stages):
+    if {"validation", "anomalies"} & set(left):
         # One digest and one shuffle of each review serve both reports.
         keys = settle(stored_keys(clean), "duplicate-keys")
         duplicates = settle(duplicate_report(keys, settings.sample_rows), "duplicates")
     job = Job(clean, duplicates, base, settings, now)
-    with ThreadPoolExecutor(len(stages)) as pool:
-        started = [
-            pool.submit(inheritable_thread_target(spark)(STAGES[name]), job) for name in stages
-        ]
-        for stage in started:
-            summary = summary.withColumns(stage.result())
+    with ThreadPoolExecutor(max(len(left), 1)) as pool:
+        target = inheritable_thread_target(spark)(_noted)
+        started = {name: pool.submit(target, manifest, name, partial(STAGES[name], job)) for name in left}
+    for name in stages:
+        summary = summary.withColumns(finished[name] if name in finished else started[name].result())
     return summary
 
 
+def _noted(manifest: Manifest | None, name: str, stage: Callable[[], dict[str, Column]]) -> dict[str, Column]:
+    if manifest is not None:
+        manifest.begin(name)
+    added = stage()
+    if manifest is not None:
+        manifest.finish(name, added)
+    return added
+
+
 def run(
     spark: SparkSession,
     out_dir: str,
@@ -139,7 +157,8 @@ def run(
     path: str | None = None,
     settings: Settings = Settings(),
     stages: Sequence[str] = tuple(STAGES),
+    resume: bool = False,
     **options,
 ) -> DataFrame:
     """Load reviews from a source and process them. Leave a stage out for the short job."""
-    return process(load_reviews(spark, source, path, **options), out_dir, settings, stages)
+    return process(load_reviews(spark, source, path, **options), out_dir, settings, stages, resume)

@@ -5,7 +5,9 @@ import json
 import pytest
 
 from revaudit.operators.generate import generate_reviews
+from revaudit.plans import review_job
 from revaudit.plans.review_job import process, run
+from revaudit.settings import Settings
 
 
 def only_part(folder):
@@ -51,3 +53,42 @@ def test_failures_propagate(spark, tmp_path):
     raw = generate_reviews(spark, 100).withColumnRenamed("rating", "stars")
     with pytest.raises(Exception, match="rating"):
         process(raw, str(tmp_path), stages=("bias",))
+
+
+def test_job_goes_on_where_it_was_ended(spark, tmp_path, monkeypatch):
+    raw, out, ran = generate_reviews(spark, 300), str(tmp_path / "job"), []
+    stages = ("features", "validation", "bias")
+    broken = {"validation": True}
+
+    def watched(name, stage):
+        def work(job):
+            ran.append(name)
+            if broken.get(name):
+                raise RuntimeError("ended")
+            return stage(job)
+
+        return work
+
+    for name, stage in list(review_job.STAGES.items()):
+        monkeypatch.setitem(review_job.STAGES, name, watched(name, stage))
+    real = review_job.preprocess
+    monkeypatch.setattr(review_job, "preprocess", lambda *a: ran.append("clean") or real(*a))
+
+    def job(rows=raw, settings=Settings()):
+        ran.clear()
+        return process(rows, out, settings, stages, resume=True).first().asDict(), sorted(ran)
+
+    with pytest.raises(RuntimeError, match="ended"):
+        job()
+    assert sorted(ran) == ["bias", "clean", "features", "validation"]
+    broken.clear()
+    first, done = job()
+    assert done == ["validation"]
+    whole = process(raw, str(tmp_path / "whole"), stages=stages).first().asDict()
+    assert first == whole and list(first) == list(whole)
+    assert job(raw.repartition(3)) == (first, [])
+    # another setting, the old one again after it, and other rows: all runs again
+    everything = ["bias", "clean", "features", "validation"]
+    assert job(settings=Settings(rating_high=4))[1] == everything
+    assert job() == (first, everything)
+    assert job(raw.limit(299))[1] == everything

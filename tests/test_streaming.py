@@ -1,7 +1,10 @@
 from __future__ import annotations
 
+from collections import Counter
+from datetime import date, timedelta
+
 from revaudit.operators.generate import generate_reviews
-from revaudit.streaming.live import append_clean_rows, clean_rows
+from revaudit.streaming.live import append_clean_rows, clean_rows, drop_repeated_ids
 
 
 def test_stream_equals_batch_and_continues(spark, tmp_path):
@@ -32,3 +35,25 @@ def test_default_progress_loses_and_repeats_nothing(spark, tmp_path):
         found = spark.read.parquet(out)
         assert found.count() == expected.count() > 390
         assert found.exceptAll(expected).count() == 0
+
+
+def test_repeated_ids_go_within_the_delay(spark, tmp_path):
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    kinds = "review_id string, date date, text string"
+
+    def arrive(*rows):
+        dated = [(i, None if d is None else date(2024, 1, 1) + timedelta(days=d), t) for i, d, t in rows]
+        spark.createDataFrame(dated, kinds).coalesce(1).write.mode("append").parquet(source)
+        live = drop_repeated_ids(spark.readStream.schema(kinds).parquet(source), "5 days")
+        started = live.writeStream.option("checkpointLocation", str(tmp_path / "notes")).trigger(availableNow=True)
+        started.start(out, format="parquet", outputMode="append").awaitTermination()
+        return Counter(r["text"] for r in spark.read.parquet(out).collect())
+
+    seen = arrive(("a", 10, "a1"), ("b", 11, "b1"), (None, 10, "none"), ("a", None, "undated"), ("b", 11, "b1"))
+    assert seen == Counter(["a1", "b1", "none", "undated"])
+    # restarted: a and b are still held, rows without an id or a date pass
+    seen = arrive(("a", 12, "a2"), ("c", 30, "c1"), (None, 10, "none"), ("a", None, "undated"))
+    assert seen == Counter(["a1", "b1", "none", "none", "undated", "undated", "c1"])
+    # the mark is at day 25: older rows are late, and a is no longer held
+    seen = arrive(("d", 12, "late"), ("a", 31, "a3"), ("c", 29, "c2"))
+    assert seen["late"] == 0 and seen["a3"] == 1 and seen["c2"] == 0
