@@ -976,6 +976,14 @@ FROM (SELECT {_RATIOS} FROM reviews)"""),
         "anomaly_alert": _with("reviews_dup", _alert_row("reviews_dup")),
         "anomaly_report": _with("reviews_dup", _anomaly_report("reviews_dup")),
         "job_summary": _with("clean_dup", _job_summary(features=True)),
+        "common_users_events": """
+SELECT user_id AS value, count(*) AS rows FROM events WHERE user_id IS NOT NULL GROUP BY user_id
+HAVING count(*) > CAST(0.0005 AS DOUBLE) * (SELECT count(user_id) FROM events)""",
+        "common_category_bias_orders": _with("order_reviews", _category_bias("""(
+SELECT rating, CASE
+  WHEN count(*) OVER (PARTITION BY business_id) > CAST(0.001 AS DOUBLE) * count(business_id) OVER ()
+    THEN CAST(business_id AS VARCHAR)
+  WHEN business_id IS NOT NULL THEN '(other)' END AS business_id FROM order_reviews)""", "business_id")),
         "job_resumed": _with("clean_dup", _job_summary(features=True)),
         "history_duplicate_counts": _with("reviews_dup", _duplicate_counts("reviews_dup")),
         "history_repeats": _with("reviews_dup", " UNION ALL ".join(

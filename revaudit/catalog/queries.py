@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from revaudit.catalog.tables import order_reviews, reviews, reviews_dup, table
 from revaudit.functions.text import sentiment_label
 from revaudit.operators import (
-    anomaly, bias, clean, duplicates, features, generate, history, parts, partsketches, validate,
+    anomaly, bias, clean, duplicates, features, generate, heavy, history, parts, partsketches, validate,
 )
 from revaudit.operators.facts import facts
 from revaudit.operators.scratch import new_path, settle
@@ -434,6 +434,14 @@ def _sketched_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checked.select(F.inline("rows"))
 
 
+_on("common_users_events", _events, lambda df: heavy.common_values(df, "user_id", 0.0005))
+_on(
+    "common_category_bias_orders",
+    order_reviews,
+    lambda df: bias.category_bias(heavy.with_others(df, "business_id", 0.001), "business_id"),
+)
+
+
 def _indexed(spark: SparkSession, source: DataFrame, through: int) -> history.Index:
     """An index of the reviews by cool votes, up to and with a number of them; the first part is added twice."""
     index = history.open_index(spark, f"digests_{uuid.uuid4().hex}", new_path(spark, "digests"), 16)
