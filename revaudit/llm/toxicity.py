@@ -26,8 +26,8 @@ PLACES = 1 << 20
 CUT = 0.5
 #: Bytes of a word's beginning that are features besides the whole word.
 BEGINNINGS = (4, 5, 6)
-#: Features of fewer training documents than this have no weight.
-LEAST_DOCUMENTS = 8
+#: Features of a smaller share of the training documents than this have no weight: 8 of 4,000.
+LEAST_SHARE = 0.002
 
 
 @dataclass
@@ -139,7 +139,7 @@ def fit(
 def train(documents: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) -> Model:
     """A model of `labels` (doc_id, toxic), learned without held-out rows.
 
-    Words of fewer than LEAST_DOCUMENTS texts of the sample have no weight. The sample has more toxic texts than the labels do; texts are weighted back to the labels' shares.
+    Words of a smaller share of the sample's texts than LEAST_SHARE have no weight. The sample has more toxic texts than the labels do; texts are weighted back to the labels' shares.
     """
     sample = labelled_sample(documents, labels, "toxic", rows)
     kinds = "doc_id long, label int, sentences int, of array<int>, places array<int>"
@@ -155,7 +155,7 @@ def train(documents: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) ->
     seen = np.zeros(PLACES, np.int32)
     for row in table["places"]:
         seen[np.unique(row.values)] += 1
-    often, of, place = seen >= LEAST_DOCUMENTS, [], []
+    often, of, place = seen >= max(LEAST_SHARE * len(label), 1), [], []
     for begin, i in zip(first, order, strict=True):
         own = np.asarray(table["places"][i].values)
         kept = often[own]
