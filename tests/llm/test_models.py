@@ -162,3 +162,70 @@ def test_sample_leaves_out_held_out_rows_and_unclear_labels(spark):
     assert sorted(ids) == [i for i in range(100) if zlib.crc32(str(i).encode()) % 5 and i != 1]
     few = labelled_sample(docs, spark.createDataFrame(rows, "doc_id long, quality int, toxic int"), "quality", 10)
     assert sorted(r["label"] for r in few.collect()) == [0] * 5 + [1] * 5
+
+
+def test_follow_the_leader_equals_dictionaries():
+    """The same updates one coordinate at a time, over dictionaries."""
+    rng = np.random.default_rng(3)
+    examples = []
+    for _ in range(40):
+        places = np.sort(rng.choice(30, rng.integers(0, 8), replace=False)) * 7919 % quality.PLACES
+        examples.append((places, rng.random(len(places)), int(rng.integers(2))))
+    alpha, beta, l1, l2 = 0.7, 0.5, 0.01, 0.02
+    model = quality.follow_the_leader(examples, passes=4, alpha=alpha, beta=beta, l1=l1, l2=l2)
+    z, n = {}, {}
+
+    def weight(i):
+        held = z.get(i, 0.0)
+        if abs(held) <= l1:
+            return 0.0
+        return -(held - (l1 if held > 0 else -l1)) / ((beta + n[i] ** 0.5) / alpha + l2)
+
+    order = np.random.default_rng(5)
+    for _ in range(4):
+        for k in order.permutation(len(examples)):
+            places, values, label = examples[k]
+            row = {**dict(zip(places.tolist(), values.tolist())), "bias": 1.0}
+            own = {i: weight(i) for i in row}
+            p = 1 / (1 + np.exp(-sum(own[i] * x for i, x in row.items())))
+            for i, x in row.items():
+                g = (p - label) * x
+                sigma = ((n.get(i, 0.0) + g * g) ** 0.5 - n.get(i, 0.0) ** 0.5) / alpha
+                z[i] = z.get(i, 0.0) + g - sigma * own[i]
+                n[i] = n.get(i, 0.0) + g * g
+    assert np.isclose(model.bias, weight("bias"))
+    want = np.zeros(quality.PLACES)
+    for i in z:
+        if i != "bias":
+            want[i] = weight(i)
+    assert np.allclose(model.weights, want) and np.count_nonzero(want) > 10
+
+
+def test_noisy_or_steps_equal_finite_differences():
+    """The fit's steps with gradients of the written-out loss by finite differences."""
+    rng = np.random.default_rng(4)
+    label, weight = np.array([1, 0, 1, 0, 0]), np.array([1.0, 2.0, 0.5, 1.0, 1.0])
+    text = np.array([0, 0, 0, 1, 1, 2, 3, 3, 4])
+    of = np.sort(rng.integers(0, len(text), 40))
+    place = rng.integers(0, 6, 40)
+    passes, rate, l1, start = 8, 0.3, 1e-3, -1.0
+    model = toxicity.fit(of, place, text, label, weight, passes, rate, l1, start)
+
+    def loss(w):
+        total = 0.0
+        for t in range(len(label)):
+            clean = 1.0
+            for s in np.flatnonzero(text == t):
+                clean *= 1 - 1 / (1 + np.exp(-(w[-1] + sum(w[p] for p in place[of == s]))))
+            total -= weight[t] * np.log(1 - clean if label[t] else clean)
+        return total / weight.sum()
+
+    w, past = np.append(np.zeros(6), start), np.full(7, 1e-8)
+    for _ in range(passes):
+        g = np.array([(loss(w + d) - loss(w - d)) / 2e-6 for d in np.eye(7) * 1e-6])
+        past += g * g
+        step = rate / np.sqrt(past)
+        moved = w[:6] - step[:6] * g[:6]
+        w = np.append(np.sign(moved) * np.maximum(abs(moved) - step[:6] * l1, 0), w[6] - 0.2 * step[6] * g[6])
+    assert np.allclose(model.weights[:6], w[:6], atol=1e-5) and np.isclose(model.bias, w[6], atol=1e-5)
+    assert np.count_nonzero(model.weights) == np.count_nonzero(w[:6]) > 3
