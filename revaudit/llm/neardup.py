@@ -10,15 +10,15 @@ little more than their number of shingles.
 
 Whole copies are one entry from the start. Entries that share a band are compared with the bucket's
 leader, the entry with the most company, and not with each other. Of buckets whose entries then still belong to
-different classes, those of few entries compare all that are outside the largest class with the others. Larger
-ones are cut by the next band, and again by the one after, until they are few, as in a forest of prefix trees;
-at each depth all are compared with one more leader from outside the largest class. So an entry is compared with a
-bounded number of others for each band, and comparisons grow with the entries, however many are alike.
-
-Pairs are left out where an exact bound rules them out: by their weights, by the triangle inequality, or by the
-shingles that no other entry has, which cannot be in common. What cutting can lose is a link of two entries
-outside the largest class of a bucket of more than FEW entries that share no longer run of bands and are in
-no other way connected; with `exact` such pairs are compared as well, whose number grows with the square of the bucket.
+different classes, all pairs of different classes are left. An exact bound rules out most of them without a look at
+their texts: only shingles that several classes have can be in common, two similar texts share one of their
+rarest, and what their rarest share and the rest of them weigh is the most they can have in common. The pairs
+that remain are all compared, so no link that joins two classes is lost.
+
+On request (`exact` false) such buckets are cut by the next band instead, and again by the one after, until they are few,
+as in a forest of prefix trees; at each depth all are compared with one leader from outside the largest class. That
+bounds the comparisons for each entry and band and loses links of two entries outside the largest class of a bucket of
+more than FEW entries that share no longer run of bands and are in no other way connected.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from revaudit.llm.common import slices
@@ -39,9 +39,9 @@ SHINGLE_WORDS = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 25, 5
 
-#: Entries of a bucket that may all be compared; a larger one is cut by the next band.
+#: Unless links are exact: entries of a bucket that may all be compared; a larger one is cut by the next band.
 FEW = 16
-#: Bands that name the smallest buckets.
+#: Unless links are exact: bands that name the smallest buckets.
 DEPTH = 5
 #: Entries compared with one copy of a leader's text.
 LEADER_PARTNERS = 256
@@ -232,13 +232,45 @@ def _forest_pairs(open_rows: DataFrame, entries: DataFrame, threshold: float) ->
     )
 
 
+def _shingle_pairs(rest: DataFrame, texts: DataFrame, threshold: float, n: int) -> DataFrame:
+    """a, b: the pairs of entries of different classes that may reach the threshold; `rest` has entry, label and weight.
+
+    Only shingles that several classes have can be in common. With each entry's in one order, rarest first, two similar
+    entries share one of those with which the rest of the entry still weighs the threshold's part of it (its prefix). What
+    prefixes share and what comes after the last shared shingle bound the weight in common. No pair is left out otherwise.
+    """
+    held = texts.join(rest.select("entry"), "entry").mapInArrow(_shingle_batches(n), "shingle long, entry long, weight long")
+    held = settle(held.withColumnRenamed("weight", "part").join(rest, "entry"), "neardup-shingles")
+    counts = held.groupBy("shingle", "label").agg(F.count("*").alias("n")).groupBy("shingle").agg(
+        F.max(F.struct("n", "label")).alias("top"), F.sum("n").alias("n"), F.count("*").alias("labels")
+    )
+    counts = counts.where("labels > 1").select("shingle", "n", F.col("top.label").alias("main"))
+    upwards = Window.partitionBy("entry").orderBy(F.desc("n"), F.desc("shingle")).rowsBetween(Window.unboundedPreceding, 0)
+    ranked = held.join(counts, "shingle").withColumn("left", F.sum("part").over(upwards))
+    ranked = ranked.where(F.col("left") >= threshold * F.col("weight") - 1e-6)
+    ranked = settle(ranked.withColumn("asks", F.col("label") != F.col("main")).drop("main", "n"), "neardup-prefixes")
+    asked = ranked.select("shingle", *(F.col(c).alias(f"{c}_b") for c in ranked.columns if c != "shingle"))
+    # of two classes one at least is not a shingle's largest; pairs of two that ask are taken once
+    once = ~F.col("asks_b") | (F.col("entry") < F.col("entry_b"))
+    alike = F.least("weight", "weight_b") >= threshold * F.greatest("weight", "weight_b") - 1e-6
+    met = ranked.where("asks").join(asked, "shingle").where((F.col("label") != F.col("label_b")) & once & alike)
+    a, b = F.least("entry", "entry_b").alias("a"), F.greatest("entry", "entry_b").alias("b")
+    both = met.groupBy(a, b).agg(
+        F.sum(F.least("part", "part_b")).alias("met"),
+        F.min(F.least(F.col("left") - F.col("part"), F.col("left_b") - F.col("part_b"))).alias("after"),
+        F.max(F.col("weight") + F.col("weight_b")).alias("total"),
+    )
+    most = F.col("met") + F.col("after")
+    return both.where(most >= threshold * (F.col("total") - most) - 1e-6).select("a", "b")
+
+
 def entry_links(
-    entries: DataFrame, texts: DataFrame, threshold: float = THRESHOLD, n: int = SHINGLE_WORDS, exact: bool = False
+    entries: DataFrame, texts: DataFrame, threshold: float = THRESHOLD, n: int = SHINGLE_WORDS, exact: bool = True
 ) -> DataFrame:
     """a, b: verified links that connect the entries whose similarity reaches the threshold and that share a band.
 
     `entries` has entry, mark, weight and bands; `texts` has doc_id, mark and text, and is read for entries in company
-    only. With `exact` all such entries are connected; without, all but those that cutting large buckets parts.
+    only. All such entries are connected; without `exact`, all but those that cutting large buckets parts.
     """
     rows = entries.select("entry", "weight", F.explode("bands").alias("band"))
     shared = rows.groupBy("band").agg(F.count("*").alias("company")).where("company > 1")
@@ -268,56 +300,28 @@ def entry_links(
     tied = tied.withColumnRenamed("weight", "weight_b").withColumnRenamed("shared", "shared_b")
     tied = tied.where(_comparable(threshold)).select("a", F.col("entry").alias("b")).distinct()
     known = compared(tied)
-    near = members.join(leaders, "band").join(known.withColumnRenamed("b", "entry"), ["a", "entry"], "left")
-    far = F.when(F.col("a") == F.col("entry"), 0.0).otherwise(1 - F.col("similarity"))
-    members = settle(near.select("band", "entry", "weight", "shared", "degree", far.alias("far")), "neardup-members")
-    served = leaders.select("band", F.col("a").alias("entry"))
     links = known.where(F.col("similarity") >= threshold).select("a", "b")
-    step = -1
-    while True:
-        labels = components(links)
-        labelled = members.join(labels.withColumnRenamed("node", "entry"), "entry", "left").withColumn(
-            "label", F.coalesce("label", "entry")
-        )
+    label = F.coalesce("label", "entry")
+    labels = components(links).withColumnRenamed("node", "entry")
+    if exact:
+        labelled = members.select("band", "entry", "weight").join(labels, "entry", "left").withColumn("label", label)
+        several = labelled.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
+        rest = labelled.join(several.select("band"), "band", "left_semi").select("entry", "label", "weight").distinct()
+        pairs = _shingle_pairs(settle(rest, "neardup-rest"), texts, threshold, n)
+    else:
+        near = members.join(leaders, "band").join(known.withColumnRenamed("b", "entry"), ["a", "entry"], "left")
+        far = F.when(F.col("a") == F.col("entry"), 0.0).otherwise(1 - F.col("similarity"))
+        labelled = near.select("band", "entry", "weight", "shared", "a", far.alias("far")).join(labels, "entry", "left")
+        labelled = settle(labelled.withColumn("label", label), "neardup-members")
         sizes = labelled.groupBy("band", "label").agg(F.count("*").alias("n"))
         largest = sizes.groupBy("band").agg(F.max(F.struct("n", "label")).alias("top"), F.sum("n").alias("all"))
-        largest = largest.select("band", F.col("top.label").alias("main"), "all", (F.col("all") - F.col("top.n")).alias("outside"))
-        largest = settle(largest.where("outside > 0"), "neardup-mixed")
-        open_rows = labelled.join(largest, "band").join(served.withColumn("done", F.lit(True)), ["band", "entry"], "left")
-        # a share of the entries outside that grows fourfold from step to step
-        share = F.greatest(F.lit(1), F.shiftright("outside", 2 * max(step, 0) + 3))
-        turn = F.pmod(F.xxhash64("entry", F.lit(3)), share) == 0
-        rest = (F.col("label") != F.col("main")) & F.col("done").isNull()
-        open_rows = settle(open_rows.where("done is null").withColumn("rest", rest).withColumn("asks", rest & turn), "neardup-open")
-        if not open_rows.where("rest").limit(1).count():
-            return links
-        if step < 0:
-            pairs = _forest_pairs(open_rows, entries, threshold)
-            found = compared(pairs).where(F.col("similarity") >= threshold).select("a", "b")
-            links = settle(links.unionByName(found), "neardup-links")
-            if not exact:
-                return links
-            step = 0
-            continue
-        asking = open_rows.where("asks").select(
-            "band", F.col("entry").alias("a"), F.col("weight").alias("weight_a"), F.col("shared").alias("shared_a"),
-            F.col("label").alias("other"), F.col("far").alias("far_a"),
-        )
-        asked = open_rows.withColumnRenamed("weight", "weight_b").withColumnRenamed("shared", "shared_b")
-        once = ~F.col("asks") | (F.col("a") < F.col("entry"))
-        pairs = (
-            asking.join(asked, "band")
-            .where((F.col("other") != F.col("label")) & once & _possible(threshold) & _comparable(threshold))
-            .select("a", F.col("entry").alias("b"))
-            .distinct()
-        )
-        found = compared(pairs).where(F.col("similarity") >= threshold).select("a", "b")
-        links = settle(links.unionByName(found), "neardup-links")
-        served = settle(served.unionByName(asking.select("band", F.col("a").alias("entry"))), "neardup-served")
-        step += 1
+        largest = largest.where(F.col("all") > F.col("top.n")).select("band", F.col("top.label").alias("main"))
+        open_rows = labelled.where("entry <> a").join(largest, "band").withColumn("rest", F.col("label") != F.col("main"))
+        pairs = _forest_pairs(settle(open_rows, "neardup-open"), entries, threshold)
+    return links.unionByName(compared(pairs).where(F.col("similarity") >= threshold).select("a", "b"))
 
 
-def classes(documents: DataFrame, threshold: float = THRESHOLD, n: int = SHINGLE_WORDS, exact: bool = False) -> DataFrame:
+def classes(documents: DataFrame, threshold: float = THRESHOLD, n: int = SHINGLE_WORDS, exact: bool = True) -> DataFrame:
     """doc_id, class_id, class_size: one row for each row of `documents` (doc_id, text; others are not read).
 
     class_id is the lowest doc_id of the class: of all documents that chains of links of at least the

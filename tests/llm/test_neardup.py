@@ -100,6 +100,30 @@ def test_large_group_of_different_copies(spark, monkeypatch):
     assert got(neardup.classes(documents(spark, texts), exact=True)) == brute(texts)
 
 
+def test_no_link_is_lost_in_a_bucket_of_many_classes(spark, monkeypatch):
+    """Buckets that were cut lost links of entries outside their largest class."""
+    monkeypatch.setattr(neardup, "FEW", 1)
+    monkeypatch.setattr(neardup, "DEPTH", 1)
+    texts = dict(enumerate(family(1, 120, 3) + family(2, 60, 5) + family(3, 40, 1)))
+    docs, expected = documents(spark, texts), brute(texts)
+    assert got(neardup.classes(docs, exact=False)) != expected
+    assert got(neardup.classes(docs)) == expected
+
+
+def test_no_link_is_lost_among_repeated_shingles(spark):
+    """Shingles that occur several times in a text, few different ones, texts of very different lengths."""
+    rng, texts = random.Random(9), {}
+    for i in range(120):
+        own = [f"r{k % 7}" for k in range(rng.choice([20, 40, 43, 47, 90]))]
+        for _ in range(rng.randint(0, 2)):
+            own[rng.randrange(len(own))] = f"s{rng.randrange(5)}"
+        texts[i] = " ".join(own)
+    bags = {i: shingles(t) for i, t in texts.items()}
+    found = got(neardup.classes(documents(spark, texts)))
+    near = [(i, j) for i in texts for j in texts if i < j and similarity(bags[i], bags[j]) >= 0.8]
+    assert len(near) > 500 and all(found[i] == found[j] for i, j in near)
+
+
 def edited(seed: int, size: int, length: int = 150) -> list[str]:
     """Copies of one text or of an earlier copy with one to four words changed: a tree of edits, mostly below 0.8 of each other."""
     rng = random.Random(seed)
