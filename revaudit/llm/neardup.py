@@ -352,7 +352,7 @@ def classes(documents: DataFrame, threshold: float = THRESHOLD, n: int = SHINGLE
     )
 
 
-def keep_one(documents: DataFrame, threshold: float = THRESHOLD, n: int = SHINGLE_WORDS, exact: bool = False) -> DataFrame:
+def keep_one(documents: DataFrame, threshold: float = THRESHOLD, n: int = SHINGLE_WORDS, exact: bool = True) -> DataFrame:
     """The documents without all but the lowest doc_id of each class; rows without doc_id stay."""
     gone = classes(documents, threshold, n, exact).where("doc_id <> class_id").select("doc_id")
     return documents.join(gone.distinct(), "doc_id", "left_anti").select(*documents.columns)

@@ -110,6 +110,14 @@ def test_no_link_is_lost_in_a_bucket_of_many_classes(spark, monkeypatch):
     assert got(neardup.classes(docs)) == expected
 
 
+def test_kept_documents_are_those_of_all_links(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "FEW", 1)
+    monkeypatch.setattr(neardup, "DEPTH", 1)
+    texts = dict(enumerate(family(1, 60, 3) + family(2, 60, 5) + family(3, 40, 1)))
+    kept = neardup.keep_one(documents(spark, texts)).collect()
+    assert sorted(r["doc_id"] for r in kept) == sorted(set(brute(texts).values()))
+
+
 def test_no_link_is_lost_among_repeated_shingles(spark):
     """Shingles that occur several times in a text, few different ones, texts of very different lengths."""
     rng, texts = random.Random(9), {}
