@@ -35,4 +35,5 @@ def settle(df: DataFrame, label: str) -> DataFrame:
     nor depend on executors that may be lost."""
     path = new_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    # the schema is known: no job has to read it from the files
+    return df.sparkSession.read.schema(df.schema).parquet(path)
