@@ -12,8 +12,9 @@ Whole copies are one entry from the start. Entries that share a band are compare
 leader, the entry with the most company, and not with each other. Of buckets whose entries then still belong to
 different classes, all pairs of different classes are left. An exact bound rules out most of them without a look at
 their texts: only shingles that several classes have can be in common, two similar texts share one of their
-rarest, and what their rarest share and the rest of them weigh is the most they can have in common. The pairs
-that remain are all compared, so no link that joins two classes is lost.
+rarest, and what their rarest share and the rest of them weigh is the most they can have in common. Entries meet in
+a shingle only if what both have left from it on weighs enough, so entries of one large group with too many shingles
+of their own don't meet. The pairs that remain are all compared, so no link that joins two classes is lost.
 
 On request (`exact` false) such buckets are cut by the next band instead, and again by the one after, until they are few,
 as in a forest of prefix trees; at each depth all are compared with one leader from outside the largest class. That
@@ -43,6 +44,10 @@ BANDS, ROWS = 25, 5
 FEW = 16
 #: Unless links are exact: bands that name the smallest buckets.
 DEPTH = 5
+#: Weights of more than this many shingles are in bins of one part in as many, lower ones in bins of their own.
+WEIGHT_BINS = 25
+#: What rows of prefixes have in common that are in reach of each other.
+ROLE_KEYS = ["shingle", "asks", "bin_a", "bin_b"]
 #: Entries compared with one copy of a leader's text.
 LEADER_PARTNERS = 256
 
@@ -232,12 +237,39 @@ def _forest_pairs(open_rows: DataFrame, entries: DataFrame, threshold: float) ->
     )
 
 
+def _roles(ranked: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """The prefixes' rows as those of the lighter and of the heavier entry of a pair; they meet in ROLE_KEYS.
+
+    Where two similar entries first share a shingle, neither has less left than both together must have in common. So each
+    row has a greatest weight of the other entry (its reach). Both sides name the bins of the weights they allow: rows out
+    of each other's reach don't meet, but for those at the edge of a bin. Of two entries one at least asks, as those
+    that don't are of one class, the shingle's largest.
+    """
+    reach = (1 + threshold) / threshold * (F.col("left") + 1e-6) - F.col("weight")
+    rows = ranked.withColumn("reach", reach)
+    bin_of = lambda x: F.floor(WEIGHT_BINS * F.log1p(x / WEIGHT_BINS))
+    own = bin_of(F.col("weight"))
+    named = lambda side: [F.col(c).alias(f"{c}_{side}") for c in ("label", "weight", "part", "left", "reach")]
+    light = rows.where("reach >= weight").select(
+        "shingle", "asks", F.col("entry").alias("a"), *named("a"), own.alias("bin_a"),
+        F.explode(F.sequence(own, bin_of(F.col("reach")))).alias("bin_b"),
+    )
+    lowest, highest = bin_of(threshold * F.col("weight") - 1e-5), bin_of(F.least("weight", "reach"))
+    met_by = F.when(F.col("asks"), F.array(F.lit(True), F.lit(False))).otherwise(F.array(F.lit(True)))
+    heavy = rows.withColumn("asks", F.explode(met_by)).select(
+        "shingle", "asks", F.col("entry").alias("b"), *named("b"), own.alias("bin_b"),
+        F.explode(F.sequence(lowest, highest)).alias("bin_a"),
+    )
+    return light, heavy
+
+
 def _shingle_pairs(rest: DataFrame, texts: DataFrame, threshold: float, n: int) -> DataFrame:
     """a, b: the pairs of entries of different classes that may reach the threshold; `rest` has entry, label and weight.
 
     Only shingles that several classes have can be in common. With each entry's in one order, rarest first, two similar
-    entries share one of those with which the rest of the entry still weighs the threshold's part of it (its prefix). What
-    prefixes share and what comes after the last shared shingle bound the weight in common. No pair is left out otherwise.
+    entries share one of those with which the rest of the entry still weighs the threshold's part of it (its prefix), and
+    at the first of them both have enough left for what they must have in common (`_roles`). What they share in reach and
+    what comes after bound the weight in common. No pair is left out otherwise.
     """
     held = texts.join(rest.select("entry"), "entry").mapInArrow(_shingle_batches(n), "shingle long, entry long, weight long")
     held = settle(held.withColumnRenamed("weight", "part").join(rest, "entry"), "neardup-shingles")
@@ -249,16 +281,15 @@ def _shingle_pairs(rest: DataFrame, texts: DataFrame, threshold: float, n: int)
     ranked = held.join(counts, "shingle").withColumn("left", F.sum("part").over(upwards))
     ranked = ranked.where(F.col("left") >= threshold * F.col("weight") - 1e-6)
     ranked = settle(ranked.withColumn("asks", F.col("label") != F.col("main")).drop("main", "n"), "neardup-prefixes")
-    asked = ranked.select("shingle", *(F.col(c).alias(f"{c}_b") for c in ranked.columns if c != "shingle"))
-    # of two classes one at least is not a shingle's largest; pairs of two that ask are taken once
-    once = ~F.col("asks_b") | (F.col("entry") < F.col("entry_b"))
-    alike = F.least("weight", "weight_b") >= threshold * F.greatest("weight", "weight_b") - 1e-6
-    met = ranked.where("asks").join(asked, "shingle").where((F.col("label") != F.col("label_b")) & once & alike)
-    a, b = F.least("entry", "entry_b").alias("a"), F.greatest("entry", "entry_b").alias("b")
-    both = met.groupBy(a, b).agg(
-        F.sum(F.least("part", "part_b")).alias("met"),
-        F.min(F.least(F.col("left") - F.col("part"), F.col("left_b") - F.col("part_b"))).alias("after"),
-        F.max(F.col("weight") + F.col("weight_b")).alias("total"),
+    light, heavy = _roles(ranked, threshold)
+    lighter = (F.col("weight_a") < F.col("weight_b")) | ((F.col("weight_a") == F.col("weight_b")) & (F.col("a") < F.col("b")))
+    within = (F.col("weight_b") <= F.col("reach_a")) & (F.col("weight_a") <= F.col("reach_b"))
+    met = light.join(heavy, ROLE_KEYS).where((F.col("label_a") != F.col("label_b")) & lighter & within)
+    # the shingles in reach are the first ones that a pair shares: what comes after the last of them bounds the others too
+    both = met.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(
+        F.sum(F.least("part_a", "part_b")).alias("met"),
+        F.min(F.least(F.col("left_a") - F.col("part_a"), F.col("left_b") - F.col("part_b"))).alias("after"),
+        F.max(F.col("weight_a") + F.col("weight_b")).alias("total"),
     )
     most = F.col("met") + F.col("after")
     return both.where(most >= threshold * (F.col("total") - most) - 1e-6).select("a", "b")

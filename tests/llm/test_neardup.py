@@ -5,6 +5,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from compare import connect, differences
 from helpers import documents, odd_documents, random_texts, words
@@ -173,6 +174,55 @@ def test_comparisons_grow_with_the_group_and_links_are_found(spark, monkeypatch)
     assert counted[1] <= 6 * counted[0] and counted[1] < 60 * 2000
 
 
+def group(seed: int, size: int, length: int = 150) -> list[str]:
+    """Copies of one text with one to nine words replaced, some with words left out or added: many are in no link."""
+    rng = random.Random(seed)
+    out = []
+    for i in range(size):
+        own = [f"b{k}" for k in range(length)]
+        for k in range(rng.randint(1, 9)):
+            own[rng.randrange(len(own))] = f"e{i}.{k}"
+        for k in range(rng.choice([0, 0, 3, 9])):
+            own.append(f"a{i}.{k}") if rng.random() < 0.5 else own.pop(rng.randrange(len(own)))
+        out.append(" ".join(own))
+    return out
+
+
+def test_rows_out_of_reach_do_not_meet(spark, monkeypatch):
+    """In a large group all rows of a shingle met before; few of them are in reach, and classes are still those of all pairs."""
+    counts, roles = [], neardup._roles
+
+    def counting(ranked, threshold):
+        light, heavy = roles(ranked, threshold)
+        other = ranked.select("shingle", F.col("entry").alias("b"), F.col("label").alias("label_b"), F.col("asks").alias("asks_b"))
+        once = ~F.col("asks_b") | (F.col("entry") < F.col("b"))
+        before = ranked.where("asks").join(other, "shingle").where((F.col("label") != F.col("label_b")) & once)
+        counts.append((before.count(), light.join(heavy, neardup.ROLE_KEYS).count()))
+        return light, heavy
+
+    monkeypatch.setattr(neardup, "_roles", counting)
+    texts = dict(enumerate(group(11, 400)))
+    found = got(neardup.classes(documents(spark, texts).repartition(8)))
+    assert found == brute(texts) and len(set(found.values())) > 40
+    ((before, met),) = counts
+    print("rows that met before", before, "now", met)
+    assert 0 < met < 10 * 400 < 40 * 400 < before
+
+
+@pytest.mark.parametrize("threshold", [0.5, 0.8])
+def test_no_similar_pair_is_out_of_reach(spark, threshold):
+    """Each entry is its own class, so that all similar pairs have to be found."""
+    rng = random.Random(3)
+    texts = group(5, 30) + edited(6, 50) + [" ".join(f"r{rng.randrange(3)}" for _ in range(rng.choice([9, 30]))) for _ in range(40)]
+    bags = [shingles(t) for t in texts]
+    rows = [(i, i, sum(b.values())) for i, b in enumerate(bags)]
+    rest = spark.createDataFrame(rows, "entry long, label long, weight long")
+    held = spark.createDataFrame(list(enumerate(texts)), "entry long, text string")
+    pairs = {(r["a"], r["b"]) for r in neardup._shingle_pairs(rest, held, threshold, 5).collect()}
+    near = {(i, j) for i in range(120) for j in range(i + 1, 120) if similarity(bags[i], bags[j]) >= threshold}
+    assert len(near) > 60 and near <= pairs and len(pairs) < 120 * 119 / 2
+
+
 def test_one_id_with_different_texts_is_one_document(spark):
     one, two = (" ".join(f"{c}{k}" for k in range(40)) for c in "xy")
     near = one + " more"
