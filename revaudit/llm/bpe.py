@@ -26,6 +26,8 @@ from revaudit.llm.common import slices
 from revaudit.llm.rounds import Pairs, merge, pair_table
 from revaudit.llm.words import lists, text_bytes
 
+#: Bytes of text that are encoded at once: their words, symbols and ids take tens of times as much.
+_SLICE = 1 << 20
 _BLANK = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 #: Characters whose case, form and kind no version of Unicode has changed; others go to the file's own rules.
 _PLAIN = re.compile("[\\x00-\\u024f\\u2010-\\u2027\\u2030-\\u205e]*")
@@ -157,8 +159,9 @@ def _encode_batches(shared, texts_too: bool, kept: tuple[str, ...] = ("doc_id",)
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t: Tokenizer = shared.value
         splitter = Splitter(t)
+        strings = name_strings(t)
         for batch in batches:
-            for part in slices(batch, most=8 << 20):
+            for part in slices(batch, most=_SLICE):
                 words: list[str] = []
                 sizes, special = [], []
                 for text in part.column("text").to_pylist():
@@ -186,16 +189,19 @@ def _encode_batches(shared, texts_too: bool, kept: tuple[str, ...] = ("doc_id",)
                 ends = np.concatenate([[0], np.cumsum(size)])[np.cumsum([0, *sizes])]
                 made = [lists(flat.astype(np.int32), np.diff(ends), pa.int32())]
                 if texts_too:
-                    made.append(decode_lists(made[0], t))
+                    made.append(decode_lists(made[0], strings))
                 names = [*kept, "ids", "decoded"][: len(kept) + len(made)]
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kept), *made], names)
 
     return work
 
 
-def decode_lists(ids: pa.Array, t: Tokenizer) -> pa.Array:
+def name_strings(t: Tokenizer) -> pa.Array:
+    return pa.array(t.names.tolist(), pa.string())
+
+
+def decode_lists(ids: pa.Array, names: pa.Array) -> pa.Array:
     """The strings of each row's ids joined by spaces, as the library does for a file without a decoder."""
-    names = pa.array(t.names.tolist(), pa.string())
     strings = names.take(pc.list_flatten(ids))
     return pc.binary_join(pa.ListArray.from_arrays(ids.offsets, strings), " ")
 
@@ -229,11 +235,12 @@ def decode(encoded: DataFrame, tokenizer_path: str) -> DataFrame:
     shared = encoded.sparkSession.sparkContext.broadcast(read_tokenizer(tokenizer_path))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        strings = name_strings(shared.value)
         for batch in batches:
             rows = batch.column("ids").cast(pa.list_(pa.int32()))
             some = pc.fill_null(rows, pa.scalar([], pa.list_(pa.int32())))
             some = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(pc.list_value_length(some).to_numpy())]), pa.int32()), pc.list_flatten(some))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), decode_lists(some, shared.value)], ["doc_id", "decoded"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), decode_lists(some, strings)], ["doc_id", "decoded"])
 
     kind = encoded.schema["doc_id"].dataType.simpleString()
     return encoded.select("doc_id", "ids").mapInArrow(work, f"doc_id {kind}, decoded string")

@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import hashlib
 import random
+import tracemalloc
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from tokenizers import Tokenizer
@@ -108,6 +111,25 @@ def test_ids_equal_library(spark, strange):
         assert r["decoded"] == library.decode(ids, skip_special_tokens=False)
 
 
+def test_a_large_batch_is_encoded_in_little_memory():
+    """Eight MB of texts in one batch, as a worker gets them: what it holds doesn't grow with the batch."""
+    text = "".join(random.Random(6).choices(["the ", "cat's ", "über ", "12 ", "<|endoftext|> ", "lights "], k=1_000))
+    batch = pa.RecordBatch.from_pydict({"doc_id": range(1600), "text": [text + str(i) for i in range(1600)]})
+    shared = SimpleNamespace(value=bpe.read_tokenizer(WORDS))
+    library = Tokenizer.from_file(WORDS)
+    rows = 0
+    tracemalloc.start()
+    for made in bpe._encode_batches(shared, True)(iter([batch])):
+        for i in (0, made.num_rows - 1):
+            ids = library.encode(text + str(rows + i), add_special_tokens=False).ids
+            assert made.column("doc_id")[i].as_py() == rows + i and made.column("ids")[i].as_py() == ids
+            assert made.column("decoded")[i].as_py() == library.decode(ids, skip_special_tokens=False)
+        rows += made.num_rows
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows == 1600 and peak < 64 << 20
+
+
 def test_decode_is_what_encode_decodes(spark, strange):
     both = bpe.encode(documents(spark, strange), WORDS, decoded=True)
     again = bpe.decode(both, WORDS).withColumnRenamed("decoded", "again")
